@@ -36,7 +36,7 @@ class Period:
 
     def days(self, spark: SparkSession) -> DataFrame:
         """One row per day, whether or not a feed exists for it."""
-        return spark.range(1).select(
+        return spark.range(0, 1, 1, 1).select(
             F.explode(F.sequence(F.lit(self.start), F.lit(self.end))).alias(FEED_DATE)
         )
 

@@ -1,0 +1,138 @@
+"""Properties of the operators, on skewed random rows, and the plans they give."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from stopline import roles
+from stopline.operators import counts, dimensions, ranking, snapshots
+from stopline.period import Period
+from stopline.plans.catalogue import QUERIES
+from stopline.plans.summary import summary_document
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan_of(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.fixture(scope="module")
+def keys():
+    """A third of all rows have one key; some have none; many keys tie."""
+    draw = random.Random(5)
+    rest = [draw.choice([None, *range(400)]) for _ in range(4000)]
+    return [7] * 2000 + rest
+
+
+@pytest.fixture(scope="module")
+def visits(spark, keys):
+    return spark.createDataFrame([(key,) for key in keys], "stop_id BIGINT")
+
+
+@pytest.fixture(scope="module")
+def stops(spark):
+    rows = [(i, f"stop {i} v{d}", f"2025-10-0{d}") for i in range(0, 400, 3) for d in (1, 2, 3)]
+    return spark.createDataFrame(rows, "stop_id BIGINT, stop_name STRING, day STRING").select(
+        "stop_id", "stop_name", F.col("day").cast("date").alias("feed_date")
+    )
+
+
+def expected_list(keys, k, ascending):
+    def place(item):
+        key, n = item
+        return (n if ascending else -n, key is None, key or 0)
+
+    def name(key):
+        return f"stop {key} v3" if key is not None and key % 3 == 0 else "Unknown"
+
+    return [(key, name(key), n, n / 9) for key, n in sorted(Counter(keys).items(), key=place)[:k]]
+
+
+@pytest.mark.parametrize("ascending", [False, True])
+@pytest.mark.parametrize("k", [1, 30, 1000])
+@pytest.mark.parametrize("partitions", [1, 13])
+def test_lists_equal_plain_counting(visits, stops, keys, k, ascending, partitions):
+    per_stop = counts.visits_per_stop(visits.repartition(partitions), 9)
+    got = [tuple(row) for row in ranking.named_list(per_stop, stops, k, ascending).collect()]
+    assert got == expected_list(keys, k, ascending)
+
+
+def test_totals_are_kept(visits, keys):
+    per_stop = counts.visits_per_stop(visits, 9)
+    assert per_stop.agg(F.sum("total_visits")).first()[0] == len(keys)
+    assert per_stop.filter("total_visits / 9D <> avg_visits_per_day").count() == 0
+    stats = counts.route_stats(counts.trips_per_route(visits.withColumnRenamed("stop_id", "route_id"))).first()
+    assert stats.total_routes == len(set(keys))
+    assert stats.total_routes * stats.avg_trips_per_route == pytest.approx(len(keys))
+    assert stats.single_trip_routes == sum(n == 1 for n in Counter(keys).values())
+
+
+def test_names_of_all_stops(visits, stops, keys):
+    got = [tuple(row) for row in ranking.with_names(counts.visits_per_stop(visits, 9), stops).collect()]
+    assert Counter(got) == Counter(expected_list(keys, None, False))
+
+
+def test_latest_snapshot_prefers_day_then_name(spark):
+    rows = spark.sql(
+        """SELECT * FROM VALUES (1, 'b', DATE'2025-10-01'), (1, 'a', DATE'2025-10-02'), (1, NULL, DATE'2025-10-02'),
+                  (2, NULL, DATE'2025-10-01'), (2, 'z', DATE'2025-09-01'), (NULL, 'n', DATE'2025-10-01')
+           AS t(stop_id, stop_name, feed_date)"""
+    )
+    assert {tuple(row) for row in dimensions.latest_stops(rows).collect()} == {(1, "a"), (2, None), (None, "n")}
+
+
+def test_union_of_days(spark):
+    days = list(Period.parse("2025-10-01", "2025-10-03"))
+    frames = [
+        spark.sql("SELECT 1 AS a, 'x' AS b"),
+        spark.sql("SELECT 'y' AS b, 2 AS a"),
+        spark.sql("SELECT 3 AS a, true AS c"),
+    ]
+    together = snapshots.union_days(snapshots.tag_snapshot(f, d) for f, d in zip(frames, days, strict=True))
+    rows = together.orderBy("a").select("a", "b", "c", "feed_date").collect()
+    assert [tuple(row) for row in rows] == [(1, "x", None, days[0]), (2, "y", None, days[1]), (3, None, True, days[2])]
+
+
+def test_no_days_is_no_average(visits):
+    with pytest.raises(ValueError):
+        counts.visits_per_stop(visits, 0)
+
+
+def test_list_plan(spark):
+    plan = plan_of(QUERIES["top_stops_lineitem"](spark, SF_DIR))
+    assert "ReadSchema: struct<l_partkey:bigint,l_shipdate:timestamp_ntz>" in plan
+    assert "GreaterThanOrEqual(l_shipdate" in plan
+    assert plan.count("lineitem.parquet") == 1 and "ReusedExchange" in plan
+    assert "TakeOrderedAndProject" in plan and "LeftSemi" in plan
+    assert "partial_count" in plan
+    assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_document_plan_scans_each_table_once(spark):
+    document = summary_document(roles.summary_tables(spark, SF_DIR), roles.EVENT_PERIOD)
+    plan = plan_of(document)
+    scans = Counter(re.findall(r"FileScan parquet .*?/(\w+)\.parquet", plan))
+    assert scans == {"nation": 1, "orders": 1, "lineitem": 1, "events": 1, "supplier": 2}
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_route_plan_is_one_pass(spark):
+    plan = plan_of(QUERIES["route_stats"](spark, SF_DIR))
+    assert plan.count("FileScan") == 1
+    assert "ReadSchema: struct<l_orderkey:bigint>" in plan
+
+
+def test_counting_reads_no_columns(spark):
+    plan = plan_of(QUERIES["table_counts"](spark, SF_DIR))
+    assert plan.count("ReadSchema: struct<>") == 5
+
+
+def test_line_counting_does_not_shuffle(spark):
+    assert "Exchange" not in plan_of(QUERIES["line_counts"](spark, SF_DIR))
