@@ -65,6 +65,8 @@ def is_blank(line: Column) -> Column:
     return ~line.rlike(f"[^{BLANKS}]")
 
 
-def field_count(line: Column) -> Column:
-    """How many runs of non-blank characters a line has."""
-    return F.regexp_count(line, F.lit(f"[^{BLANKS}]+"))
+def has_fields(line: Column, at_least: int) -> Column:
+    """Whether a line has that many runs of non-blank characters; looks no further than the last one needed."""
+    if at_least < 1:
+        raise ValueError("at_least must be positive")
+    return line.rlike(f"^[{BLANKS}]*+(?:[^{BLANKS}]++[{BLANKS}]++){{{at_least - 1}}}[^{BLANKS}]")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stopline.functions.text import field_count, is_blank, lines_of
+from stopline.functions import text as forms
+from stopline.functions.text import is_blank, lines_of
 
 
 def count_lines(text: Column, keep: Callable[[Column], Column] | None = None) -> Column:
@@ -32,4 +33,4 @@ def lacks_prefix(prefix: str) -> Callable[[Column], Column]:
 
 def has_fields(at_least: int) -> Callable[[Column], Column]:
     """Lines with at least so many blank-separated fields."""
-    return lambda line: field_count(line) >= at_least
+    return lambda line: forms.has_fields(line, at_least)

@@ -65,7 +65,7 @@ def with_rank(chosen: DataFrame, ascending: bool = False) -> DataFrame:
 
 
 def _snapshots_of(chosen: DataFrame, stops: DataFrame, size: int) -> DataFrame:
-    keys = chosen.select("stop_id")
-    if size <= _BROADCAST_STOPS:
-        keys = F.broadcast(keys)
-    return stops.join(keys, "stop_id", "left_semi")
+    """The snapshots of few chosen stops; of many, all snapshots, which are cut to one per stop before they are joined."""
+    if size > _BROADCAST_STOPS:
+        return stops
+    return stops.join(F.broadcast(chosen.select("stop_id")), "stop_id", "left_semi")

@@ -99,10 +99,11 @@ def _zip_orders(orders: DataFrame) -> DataFrame:
 
 @query
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events landed by day, and the records in the files of each day."""
-    path = run_folder(spark, "inventory")
-    landing.land(roles.table(spark, sf_dir, "events").withColumn(FEED_DATE, F.to_date("ts")), path)
-    files = inventory.file_inventory(spark, path, "events")
+    """Events landed by day as a table of a monthly dataset, and the records in the files of each day."""
+    lake = run_folder(spark, "lake")
+    month = landing.dataset_path(lake, EVENT_PERIOD.start)
+    landing.land(roles.table(spark, sf_dir, "events").withColumn(FEED_DATE, F.to_date("ts")), f"{month}/events")
+    files = inventory.file_inventory(spark, lake)
     return files.groupBy("dataset", FEED_DATE).agg(
         F.sum("n_records").alias("n_records"), F.bool_and(F.col("length") > 0).alias("all_have_bytes")
     )

@@ -100,7 +100,7 @@ ORACLE: dict[str, str] = {
                CAST(NULL AS VARCHAR) AS trip_headsign
         FROM orders""",
     "file_inventory": """
-        SELECT 'events' AS dataset, CAST(ts AS DATE) AS feed_date, CAST(count(*) AS BIGINT) AS n_records,
+        SELECT '2024-01' AS dataset, CAST(ts AS DATE) AS feed_date, CAST(count(*) AS BIGINT) AS n_records,
                true AS all_have_bytes
         FROM events GROUP BY CAST(ts AS DATE)""",
     "period_days": """

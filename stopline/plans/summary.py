@@ -79,7 +79,8 @@ def _list_of(name: str):
 def land_feeds(spark: SparkSession, feed_root: str, lake: str, period: Period, landed_days: str = "keep") -> None:
     """Land the summary tables of each day's CSV directory under ``lake``."""
     for table in SUMMARY_TABLES:
-        land(read_feed_period(spark, feed_root, period, table), f"{lake.rstrip('/')}/{table}", landed_days)
+        rows = read_feed_period(spark, feed_root, period, table)
+        land(rows, f"{lake.rstrip('/')}/{table}", landed_days, day_by_day=True)
 
 
 def landed_tables(spark: SparkSession, lake: str, period: Period) -> dict[str, DataFrame]:

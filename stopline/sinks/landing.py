@@ -18,20 +18,23 @@ def dataset_path(base: str, month: date, part: str = "gtfs") -> str:
     return f"{base.rstrip('/')}/{month:%Y-%m}/{part}"
 
 
-def land(rows: DataFrame, path: str, landed_days: str = "keep") -> None:
+def land(rows: DataFrame, path: str, landed_days: str = "keep", day_by_day: bool = False) -> None:
     """Write a table with a ``feed_date`` column under ``path``.
 
     ``landed_days`` says what happens to days that are already there: ``keep`` leaves them and writes the others,
     ``replace`` overwrites just those days, ``fail`` refuses to write to a path in use.
 
-    The rebalance hint gives each day few files of even size and lets adaptive execution split a day that is much larger
-    than the others over several tasks.
+    Rows in any order are shuffled by day. The rebalance hint gives each day few files of even size and lets adaptive
+    execution split a day that is much larger than the others over several tasks. Rows that come from files of one day
+    each (``day_by_day``) are written where they are read: a task has one day, or a few small ones.
     """
     if landed_days == "keep":
         present = _present_days(rows.sparkSession, path)
         if present is not None:
             rows = rows.join(present, rows[FEED_DATE].eqNullSafe(present["landed_day"]), "left_anti")
-    writer = rows.hint("rebalance", FEED_DATE).write.partitionBy(FEED_DATE)
+    if not day_by_day:
+        rows = rows.hint("rebalance", FEED_DATE)
+    writer = rows.write.partitionBy(FEED_DATE)
     match landed_days:
         case "keep":
             writer = writer.mode("append")

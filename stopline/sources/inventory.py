@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,28 +17,33 @@ def records_per_file(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n_records"))
 
 
-def file_inventory(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """``(dataset, feed_date, path, file_name, length, size_label, n_records)`` of each Parquet file under ``root``.
+def file_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """``(dataset, feed_date, path, file_name, length, size_label, n_records)`` of every file under ``root``.
 
-    Names and lengths come from a listing (file contents are not read for it), records from the table scan; a file
-    without records is listed with 0. ``feed_date`` is NULL for files outside a day's directory.
+    The dataset is the first directory below ``root``. Names and lengths come from a listing (file contents are not read for
+    it). Records are those of Parquet files, 0 for an empty one; other files have NULL. ``feed_date`` is NULL for files
+    outside a day's directory.
     """
     listing = (
         spark.read.format("binaryFile")
-        .options(recursiveFileLookup=True, pathGlobFilter="*.parquet")
+        .options(recursiveFileLookup=True)
         .load(root)
         .select(F.col("_metadata.file_path").alias("path"), "length")
     )
-    counted = records_per_file(spark.read.options(recursiveFileLookup=True).parquet(root))
+    # Tables of all kinds are counted together. No column is read, so any schema does; naming one spares looking for it.
+    counted = records_per_file(
+        spark.read.schema("unread INT").options(recursiveFileLookup=True, pathGlobFilter="*.parquet").parquet(root)
+    )
+    below = re.escape(urlparse(root).path.rstrip("/"))
     day = F.regexp_extract("path", f"/{FEED_DATE}=([^/]*)/", 1)
     return listing.join(counted, "path", "left").select(
-        F.lit(dataset).alias("dataset"),
+        F.nullif(F.regexp_extract("path", f"{below}/([^/]+)/", 1), F.lit("")).alias("dataset"),
         F.try_to_date(F.nullif(day, F.lit("")), "yyyy-MM-dd").alias(FEED_DATE),
         "path",
         base_name(F.col("path")).alias("file_name"),
         "length",
         size_label(F.col("length")).alias("size_label"),
-        F.coalesce("n_records", F.lit(0)).alias("n_records"),
+        F.when(F.endswith("path", F.lit(".parquet")), F.coalesce("n_records", F.lit(0))).alias("n_records"),
     )
 
 

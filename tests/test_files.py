@@ -22,22 +22,42 @@ def day_file(root, text, name="stops.txt", day="20251001"):
 
 
 def test_inventory_lists_names_sizes_and_records(spark, tmp_path):
-    path = str(tmp_path / "landed")
+    lake = str(tmp_path / "lake")
+    path = f"{lake}/2025-10/gtfs/trips"
     rows = spark.range(1000).withColumn("feed_date", F.date_add(F.lit("2025-10-01").cast("date"), (F.col("id") % 3).cast("int")))
     land(rows, path)
     spark.createDataFrame([], "id BIGINT").coalesce(1).write.parquet(f"{path}/feed_date=2025-10-09")
-    files = {(str(row.feed_date), row.n_records): row for row in file_inventory(spark, path, "mini").collect()}
+    files = {(str(row.feed_date), row.n_records): row for row in file_inventory(spark, lake).collect()}
     assert set(files) == {("2025-10-01", 334), ("2025-10-02", 333), ("2025-10-03", 333), ("2025-10-09", 0)}
     for row in files.values():
-        on_disk = tmp_path / "landed" / f"feed_date={row.feed_date}" / row.file_name
+        on_disk = tmp_path / "lake/2025-10/gtfs/trips" / f"feed_date={row.feed_date}" / row.file_name
         assert on_disk.stat().st_size == row.length
         size = row.length
         assert row.size_label == (f"{size} B" if size < 1024 else f"{size / 1024:.1f} KB")
-    totals = dataset_totals(file_inventory(spark, path, "mini")).first()
-    assert (totals.dataset, totals.n_files, totals.n_records) == ("mini", 4, 1000)
+    totals = dataset_totals(file_inventory(spark, lake)).first()
+    assert (totals.dataset, totals.n_files, totals.n_records) == ("2025-10", 4, 1000)
     assert totals.n_bytes == sum(row.length for row in files.values())
 
 
+def test_inventory_of_all_kinds_of_files(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    spark.range(5).write.parquet(f"{lake}/2025-09/gtfs/stops")
+    spark.range(7).selectExpr("CAST(id AS STRING) AS name").coalesce(1).write.parquet(f"{lake}/2025-10/gtfs/routes")
+    spark.range(3).selectExpr("'line'").coalesce(1).write.text(f"{lake}/2025-10/analytics")
+    totals = {row.dataset: row for row in dataset_totals(file_inventory(spark, f"file:{lake}/")).collect()}
+    assert {name: row.n_records for name, row in totals.items()} == {"2025-09": 5, "2025-10": 7}
+    assert totals["2025-10"].n_files == 2
+    texts = file_inventory(spark, f"{lake}/2025-10/analytics").collect()
+    assert [(row.dataset, row.length, row.n_records) for row in texts] == [(None, 15, None)]
+
+
+def test_rows_of_one_day_are_not_shuffled(spark, tmp_path):
+    day_file(tmp_path, "stop_id\n1\n2\n")
+    frame = feed_csv.read_feed_period(spark, str(tmp_path), DAY, "stops")
+    land(frame, str(tmp_path / "landed"), day_by_day=True)
+    assert read_landed(spark, str(tmp_path / "landed"), DAY).count() == 2
+
+
 def test_a_day_with_most_of_the_rows_is_written_by_several_tasks(spark, tmp_path):
     path = str(tmp_path / "landed")
     hot = F.when(F.col("id") % 10 < 8, F.lit("2025-10-01")).otherwise(F.lit("2025-10-02")).cast("date")
@@ -47,7 +67,7 @@ def test_a_day_with_most_of_the_rows_is_written_by_several_tasks(spark, tmp_path
         land(rows, path)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = file_inventory(spark, path, "hot").groupBy("feed_date").agg(F.count("*").alias("n"), F.sum("n_records").alias("r"))
+    files = file_inventory(spark, path).groupBy("feed_date").agg(F.count("*").alias("n"), F.sum("n_records").alias("r"))
     got = {str(row.feed_date): (row.n, row.r) for row in files.collect()}
     assert got["2025-10-01"][0] > 3 and got["2025-10-01"][1] == 320_000
     assert got["2025-10-02"][1] == 80_000
