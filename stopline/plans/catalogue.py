@@ -375,6 +375,14 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.report_lines(summary_document(roles.summary_tables(spark, sf_dir), EVENT_PERIOD), MADE_AT)
 
 
+@query
+def report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report written as a text file and read back: how often each line occurs."""
+    path = reports.result_path(run_folder(spark, "report"), MADE_AT, "txt")
+    reports.write_report(report_lines(spark, sf_dir), path)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n_lines"))
+
+
 @query
 def summary_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result document written as JSON, read back, and its lists as rows."""

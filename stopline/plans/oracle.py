@@ -228,3 +228,5 @@ ORACLE: dict[str, str] = {
         WITH named AS ({_named(_EVENT_VISITS, _SUPPLIER_STOPS)}), ranked AS ({_RANKED})
         SELECT list_name, rank AS position, stop_name, avg_visits_per_day FROM ranked""",
 }
+
+ORACLE["report_file"] = f"SELECT line, count(*) AS n_lines FROM ({ORACLE['report_lines']}) GROUP BY line"

@@ -8,11 +8,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stopline.operators.counts import route_stats, table_counts, trips_per_route, visits_per_stop
 from stopline.operators.ranking import named_lists
 from stopline.period import Period
-from stopline.schemas import DOCUMENT_SCHEMA, LIST_SIZE, SUMMARY_TABLES
+from stopline.schemas import DOCUMENT_SCHEMA, FEED_DATE, LIST_SIZE, SUMMARY_COLUMNS, SUMMARY_TABLES
 from stopline.sinks.landing import land, read_landed
 from stopline.sinks.reports import report_lines, result_path, write_document, write_report
 from stopline.sources.documents import read_document
@@ -84,7 +85,12 @@ def land_feeds(spark: SparkSession, feed_root: str, lake: str, period: Period, l
 
 
 def landed_tables(spark: SparkSession, lake: str, period: Period) -> dict[str, DataFrame]:
-    return {table: read_landed(spark, f"{lake.rstrip('/')}/{table}", period) for table in SUMMARY_TABLES}
+    """The summary tables of the days of a period, with just the columns a summary uses."""
+    tables = {}
+    for table, columns in SUMMARY_COLUMNS.items():
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in columns]).add(FEED_DATE, T.DateType())
+        tables[table] = read_landed(spark, f"{lake.rstrip('/')}/{table}", period, schema)
+    return tables
 
 
 def run_summary(

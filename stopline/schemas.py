@@ -7,8 +7,15 @@ from pyspark.sql import types as T
 # The day of the snapshot a row came from; the partition column of every landed table.
 FEED_DATE = "feed_date"
 
-# The five feed tables a summary is made from.
-SUMMARY_TABLES = ("agency", "routes", "stops", "trips", "stop_times")
+# The five feed tables a summary is made from, and the columns it uses of each.
+SUMMARY_COLUMNS = {
+    "agency": (),
+    "routes": (),
+    "stops": ("stop_id", "stop_name"),
+    "trips": ("route_id",),
+    "stop_times": ("stop_id",),
+}
+SUMMARY_TABLES = tuple(SUMMARY_COLUMNS)
 
 # Tables a daily feed must have, and tables it may have.
 FEED_MANIFEST = (

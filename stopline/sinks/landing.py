@@ -31,7 +31,9 @@ def land(rows: DataFrame, path: str, landed_days: str = "keep", day_by_day: bool
     if landed_days == "keep":
         present = _present_days(rows.sparkSession, path)
         if present is not None:
-            rows = rows.join(present, rows[FEED_DATE].eqNullSafe(present["landed_day"]), "left_anti")
+            # One row per calendar day, so small whatever the size of the table; its files say otherwise to the planner.
+            landed = F.broadcast(present)
+            rows = rows.join(landed, rows[FEED_DATE].eqNullSafe(landed["landed_day"]), "left_anti")
     if not day_by_day:
         rows = rows.hint("rebalance", FEED_DATE)
     writer = rows.write.partitionBy(FEED_DATE)

@@ -75,8 +75,11 @@ def _unpack_files(
 ) -> DataFrame:
     files = spark.read.format("binaryFile").options(pathGlobFilter="*.zip", recursiveFileLookup=True).load(path)
     small = files.filter(F.col("length") <= SMALL_ARCHIVE).select("path", "content")
-    large = files.filter(F.col("length") > SMALL_ARCHIVE).select("path").repartition("path")
-    members = large.mapInPandas(_list_members(only), "path string, member string").repartition("path", "member")
+    # Few short rows with much work behind each: a fixed number of partitions keeps adaptive execution from putting them
+    # all into one task.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    large = files.filter(F.col("length") > SMALL_ARCHIVE).select("path").repartition(tasks)
+    members = large.mapInPandas(_list_members(only), "path string, member string").repartition(tasks)
     return small.mapInPandas(_from_content(unpack, only), schema).unionByName(
         members.mapInPandas(_from_storage(unpack), schema)
     )

@@ -6,6 +6,7 @@ import zipfile
 
 import minifeed
 import pytest
+from pyspark.sql import functions as F
 
 from stopline.sources import archives
 from stopline.sources.feed_csv import read_feed_period
@@ -56,6 +57,16 @@ def test_pieces_number_lines_without_gaps(spark, tmp_path, monkeypatch, way):
     assert table.select("stop_id").distinct().count() == n - 1
 
 
+def test_members_of_a_large_archive_are_spread_over_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "SMALL_ARCHIVE", 0)
+    with zipfile.ZipFile(tmp_path / "sweden-20251001.zip", "w") as archive:
+        for i in range(16):
+            archive.writestr(f"{i}.txt", "line\n")
+    lines = archives.archive_lines(spark, str(tmp_path)).withColumn("task", F.spark_partition_id())
+    assert lines.count() == 16
+    assert lines.select("task").distinct().count() >= 6
+
+
 def test_quoted_fields_and_ragged_rows(spark, tmp_path, way):
     text = 'stop_id,stop_name,zone\n1,"Torget, ""stora""",z\n2\n3,Ny,z,extra\n'
     with zipfile.ZipFile(tmp_path / "sweden-20251001.zip", "w") as archive:

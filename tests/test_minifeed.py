@@ -13,6 +13,7 @@ from stopline.operators import counts, quality, ranking
 from stopline.period import Period
 from stopline.plans.summary import land_feeds, landed_tables, run_summary, summary_document
 from stopline.schemas import SUMMARY_TABLES
+from stopline.sinks import reports
 from stopline.sinks.landing import land, read_landed
 from stopline.sources import documents
 from stopline.sources.feed_csv import read_feed_day, read_feed_period
@@ -166,6 +167,8 @@ def test_summary_of_an_empty_day(spark, feed_root, tmp_path):
     assert tuple(row.route_stats) == (0, None, 0)
     assert documents.chart_series(document).count() == 0
     assert documents.document_lists(document).count() == 0
+    lines = [row.line for row in reports.report_lines(document, MADE_AT).orderBy("line_no").collect()]
+    assert lines[-2:] == ["- Total unique routes: 0", "- Average trips per route: n/a"]
 
 
 def test_landing_replaces_or_refuses(spark, tables, tmp_path):
