@@ -3,17 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from datetime import date
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stopline.operators.snapshots import union_days
+from stopline.operators.snapshots import tag_snapshot, union_days
 from stopline.period import Period
-from stopline.schemas import FEED_DATE
 
 # How the directory of a day and the file of a table are named.
 DAY_DIRECTORY = "sweden-%Y%m%d"
@@ -22,8 +18,7 @@ TABLE_FILE = "{table}.txt"
 # Feed files double a quote inside a quoted field.
 CSV_OPTIONS = {"header": True, "escape": '"'}
 
-_HEADER_READERS = 16
-_DIGITS = {"%Y": r"\d{4}", "%m": r"\d{2}", "%d": r"\d{2}"}
+_HEADERS_AT_ONCE = 16
 
 
 def table_path(
@@ -32,47 +27,23 @@ def table_path(
     return f"{root.rstrip('/')}/{day.strftime(day_directory)}/{table_file.format(table=table)}"
 
 
-def read_feed_period(
-    spark: SparkSession,
-    root: str,
-    period: Period,
-    table: str,
-    day_directory: str = DAY_DIRECTORY,
-    table_file: str = TABLE_FILE,
-) -> DataFrame:
+def read_feed_period(spark: SparkSession, root: str, period: Period, table: str, **names: str) -> DataFrame:
     """All days of one feed table, matched by column name, with ``feed_date`` added.
 
-    A CSV scan over several files maps columns by position, so days are grouped by their header line first and each group
-    is one scan with its own column order. The plan therefore has as many scans as there are different headers, not as
-    many as there are days. Columns a day lacks are NULL there. A day without the file is an error.
+    Each day is a scan of its own. A scan over several files would map columns by position, under whichever header it saw
+    first, and would have to work out the day of each row from its path, which takes longer than parsing the row. Columns a
+    day lacks are NULL there. A day without the file is an error.
     """
-    paths = [table_path(root, day, table, day_directory, table_file) for day in period]
-
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
-
-    with ThreadPool(min(_HEADER_READERS, len(paths))) as pool:
-        headers = pool.map(header, paths)
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for columns, path in zip(headers, paths, strict=True):
-        groups[columns].append(path)
-    return union_days(_scan(spark, columns, files, day_directory) for columns, files in groups.items())
+    with ThreadPool(_HEADERS_AT_ONCE) as pool:  # Spark looks at a file's header as soon as the scan is defined
+        return union_days(pool.map(lambda day: read_feed_day(spark, root, day, table, **names), period))
 
 
 def read_feed_day(spark: SparkSession, root: str, day: date, table: str, **names: str) -> DataFrame:
-    """One day of one feed table, with ``feed_date`` added."""
-    return read_feed_period(spark, root, Period(day, day), table, **names)
-
-
-def _scan(spark: SparkSession, columns: tuple[str, ...], paths: list[str], day_directory: str) -> DataFrame:
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    # Every file's header is compared with the schema, so a directory whose parts disagree fails instead of shifting
-    # columns. Unnamed columns get a made-up name, which no header can match.
-    unnamed = any(re.fullmatch(r"_c\d+", name) for name in columns)
-    rows = spark.read.schema(schema).options(**CSV_OPTIONS, enforceSchema=unnamed).csv(paths)
-    pattern = re.escape(day_directory)
-    for mark, digits in _DIGITS.items():
-        pattern = pattern.replace(mark, digits)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), f"/({pattern})/", 1)
-    day = F.to_date(F.regexp_replace(folder, r"\D", ""), "yyyyMMdd")
-    return rows.select("*", day.alias(FEED_DATE))
+    """One day of one feed table, with ``feed_date`` added. ``names`` are those of :func:`table_path`."""
+    path = table_path(root, day, table, **names)
+    # The header of every file is compared with the first one, so a directory whose parts disagree fails instead of
+    # shifting columns.
+    rows = spark.read.options(**CSV_OPTIONS, enforceSchema=False).csv(path)
+    if any(re.fullmatch(r"_c\d+", name) for name in rows.columns):  # a name made up for a column without one
+        rows = spark.read.options(**CSV_OPTIONS).schema(rows.schema).csv(path)
+    return tag_snapshot(rows, day)

@@ -91,12 +91,13 @@ def test_columns_of_some_days_survive_landing(spark, tmp_path):
     assert [tuple(row) for row in rows] == [("a", None), ("c", "b")]
 
 
-def test_one_scan_per_header(spark, tmp_path):
+def test_each_day_has_its_own_header_and_a_constant_day(spark, tmp_path):
     for i in range(6):
         header = "stop_id,stop_name" if i < 4 else "stop_name,stop_id"
         day_file(tmp_path, f"{header}\n{i},x\n" if i < 4 else f"{header}\nx,{i}\n", day=f"2025100{i + 1}")
     frame = feed_csv.read_feed_period(spark, str(tmp_path), Period.parse("2025-10-01", "2025-10-06"), "stops")
-    assert frame._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "2025-10-03 AS feed_date" in plan and "file_path" not in plan
     rows = frame.orderBy("feed_date").collect()
     assert [(row.stop_id, row.stop_name, row.feed_date.day) for row in rows] == [(str(i), "x", i + 1) for i in range(6)]
 
