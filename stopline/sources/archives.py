@@ -7,22 +7,25 @@ just its bytes from storage. Members are unpacked as a stream, so memory does no
 
 from __future__ import annotations
 
+import csv
 import io
+import re
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from datetime import date, datetime
 from itertools import islice
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopline.functions.paths import base_name
 from stopline.schemas import FEED_DATE
 
 SMALL_ARCHIVE = 64 * 1024 * 1024
 
-_ROWS = 50_000  # rows handed back to Spark at a time
+_LINES_AT_ONCE = 50_000
+_BYTES_AT_ONCE = 4 * 1024 * 1024
 
 _LINES = T.StructType(
     [
@@ -33,7 +36,9 @@ _LINES = T.StructType(
     ]
 )
 
-Unpack = Callable[[io.BufferedIOBase], Iterator[pd.DataFrame]]
+# From the path of an archive, the name of a member and its contents to columns.
+Unpack = Callable[[str, str, zipfile.ZipExtFile], Iterator[dict[str, pa.Array]]]
+Batches = Iterator[pa.RecordBatch]
 
 
 def archive_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -42,32 +47,27 @@ def archive_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archived_table(spark: SparkSession, path: str, table: str, columns: Sequence[str]) -> DataFrame:
-    """The given columns of one table from all zip files under ``path``, as strings, with ``archive`` and ``feed_date``.
+    """The given columns of one table from all zip files under ``path``, as strings, with ``feed_date``.
 
     Columns are found by each member's own header; one that a day lacks is NULL there. The day comes from the eight digits
-    in the archive's name.
+    that end the archive's name; it is NULL where there are none.
     """
-    rows = _unpack_files(spark, path, _TableReader(columns), _table_schema(columns), f"{table}.txt")
-    return rows.drop("member").withColumn(FEED_DATE, archive_day(F.col("archive")))
-
-
-def archive_day(path: Column) -> Column:
-    return F.try_to_date(F.nullif(F.regexp_extract(base_name(path), r"(\d{8})\.zip$", 1), F.lit("")), "yyyyMMdd")
+    return _unpack_files(spark, path, _TableReader(columns), _table_schema(columns), f"{table}.txt")
 
 
 def unpack_lines(archives: DataFrame) -> DataFrame:
     """Like :func:`archive_lines`, for archives that are already rows ``(path, content)``."""
-    return archives.select("path", "content").mapInPandas(_from_content(_read_lines, None), _LINES)
+    return archives.select("path", "content").mapInArrow(_from_content(_read_lines, None), _LINES)
 
 
 def unpack_table(archives: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Like :func:`archived_table`, for archives that are already rows ``(path, content)``, without ``feed_date``."""
+    """Like :func:`archived_table`, for archives that are already rows ``(path, content)``."""
     unpack = _from_content(_TableReader(columns), f"{table}.txt")
-    return archives.select("path", "content").mapInPandas(unpack, _table_schema(columns)).drop("member")
+    return archives.select("path", "content").mapInArrow(unpack, _table_schema(columns))
 
 
 def _table_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in ("archive", "member", *columns)])
+    return T.StructType([T.StructField(name, T.StringType()) for name in columns]).add(FEED_DATE, T.DateType())
 
 
 def _unpack_files(
@@ -79,39 +79,40 @@ def _unpack_files(
     # all into one task.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     large = files.filter(F.col("length") > SMALL_ARCHIVE).select("path").repartition(tasks)
-    members = large.mapInPandas(_list_members(only), "path string, member string").repartition(tasks)
-    return small.mapInPandas(_from_content(unpack, only), schema).unionByName(
-        members.mapInPandas(_from_storage(unpack), schema)
+    members = large.mapInArrow(_list_members(only), "path string, member string").repartition(tasks)
+    return small.mapInArrow(_from_content(unpack, only), schema).unionByName(
+        members.mapInArrow(_from_storage(unpack), schema)
     )
 
 
 def _from_content(unpack: Unpack, only: str | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Batches) -> Batches:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
                     for member in _members(archive, only):
-                        yield from _unpack_member(archive, path, member, unpack)
+                        yield from _unpack_member(archive, path.as_py(), member, unpack)
 
     return run
 
 
 def _list_members(only: str | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Batches) -> Batches:
         for batch in batches:
-            for path in batch["path"]:
+            for path in batch["path"].to_pylist():
                 with _open_storage(path) as file, zipfile.ZipFile(file) as archive:
-                    yield pd.DataFrame({"path": path, "member": _members(archive, only)}, dtype=object)
+                    members = _members(archive, only)
+                yield _batch({"path": pa.repeat(path, len(members)), "member": pa.array(members, pa.string())})
 
     return run
 
 
 def _from_storage(unpack: Unpack):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Batches) -> Batches:
         for batch in batches:
-            for path, member in zip(batch["path"], batch["member"], strict=True):
-                with _open_storage(path) as file, zipfile.ZipFile(file) as archive:
-                    yield from _unpack_member(archive, path, member, unpack)
+            for row in batch.to_pylist():
+                with _open_storage(row["path"]) as file, zipfile.ZipFile(file) as archive:
+                    yield from _unpack_member(archive, row["path"], row["member"], unpack)
 
     return run
 
@@ -131,40 +132,92 @@ def _members(archive: zipfile.ZipFile, only: str | None) -> list[str]:
     return [name for name in names if only is None or name.rsplit("/", 1)[-1] == only]
 
 
-def _unpack_member(archive: zipfile.ZipFile, path: str, member: str, unpack: Unpack) -> Iterator[pd.DataFrame]:
+def _unpack_member(archive: zipfile.ZipFile, path: str, member: str, unpack: Unpack) -> Batches:
     with archive.open(member) as stream:
-        for rows in unpack(stream):
-            rows.insert(0, "archive", path)
-            rows.insert(1, "member", member)
-            yield rows
+        yield from map(_batch, unpack(path, member, stream))
+
+
+def _batch(columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _read_lines(stream: io.BufferedIOBase) -> Iterator[pd.DataFrame]:
+def _archive_day(path: str) -> date | None:
+    digits = re.search(r"(\d{8})\.zip$", path)
+    try:
+        return digits and datetime.strptime(digits[1], "%Y%m%d").date()
+    except ValueError:
+        return None
+
+
+def _read_lines(path: str, member: str, stream: zipfile.ZipExtFile) -> Iterator[dict[str, pa.Array]]:
     text = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace")
     start = 0
-    while lines := [line.removesuffix("\n") for line in islice(text, _ROWS)]:
-        yield pd.DataFrame({"line_no": range(start, start + len(lines)), "line": lines})
+    while lines := [line.removesuffix("\n") for line in islice(text, _LINES_AT_ONCE)]:
+        yield {
+            "archive": pa.repeat(path, len(lines)),
+            "member": pa.repeat(member, len(lines)),
+            "line_no": pa.array(range(start, start + len(lines)), pa.int64()),
+            "line": pa.array(lines, pa.string()),
+        }
         start += len(lines)
 
 
 class _TableReader:
-    """Reads the wanted columns of a CSV member by name, in pieces."""
+    """Reads the wanted columns of a CSV member by name, in pieces.
+
+    Rows with too few or too many fields are kept, as Spark's CSV source keeps them: missing fields are NULL, surplus ones
+    are dropped. They come after the regular rows of the member.
+    """
 
     def __init__(self, columns: Sequence[str]) -> None:
         self.columns = list(columns)
 
-    def __call__(self, stream: io.BufferedIOBase) -> Iterator[pd.DataFrame]:
-        wanted = set(self.columns)
-        pieces = pd.read_csv(
-            stream,
-            chunksize=_ROWS,
-            dtype=str,
-            usecols=lambda name: name in wanted,
-            index_col=False,
-            keep_default_na=False,
-            na_values=[""],
-            encoding="utf-8-sig",
-            encoding_errors="replace",
+    def __call__(self, path: str, member: str, stream: zipfile.ZipExtFile) -> Iterator[dict[str, pa.Array]]:
+        # The day is the same for a whole member: cheaper to repeat here than to take it from the path of each row.
+        day = pa.scalar(_archive_day(path), pa.date32())
+        for columns in self._pieces(stream):
+            yield {**columns, FEED_DATE: pa.repeat(day, len(columns[self.columns[0]]))}
+
+    def _pieces(self, stream: zipfile.ZipExtFile) -> Iterator[dict[str, pa.Array]]:
+        from pyarrow import csv as arrow_csv
+
+        body = io.BufferedReader(stream, _BYTES_AT_ONCE)
+        header = next(csv.reader([body.readline().decode("utf-8-sig", "replace")]), [])
+        if not body.peek(1):
+            return
+        odd: list[str] = []
+
+        def set_aside(row: arrow_csv.InvalidRow) -> str:
+            odd.append(row.text)
+            return "skip"
+
+        pieces = arrow_csv.open_csv(
+            body,
+            arrow_csv.ReadOptions(use_threads=False, block_size=_BYTES_AT_ONCE, column_names=header),
+            arrow_csv.ParseOptions(newlines_in_values=True, invalid_row_handler=set_aside),
+            arrow_csv.ConvertOptions(
+                column_types=dict.fromkeys(self.columns, pa.binary()),
+                include_columns=self.columns,
+                include_missing_columns=True,
+                null_values=[""],
+                strings_can_be_null=True,
+            ),
         )
         for piece in pieces:
-            yield piece.reindex(columns=self.columns).astype(object)
+            yield {name: _as_text(piece[name]) for name in self.columns}
+            if odd:
+                yield self._odd_rows(header, odd)
+                odd.clear()
+        if odd:
+            yield self._odd_rows(header, odd)
+
+    def _odd_rows(self, header: Sequence[str], texts: Sequence[str]) -> dict[str, pa.Array]:
+        rows = [dict(zip(header, next(csv.reader(io.StringIO(text, newline=""))), strict=False)) for text in texts]
+        return {name: pa.array([row.get(name) or None for row in rows], pa.string()) for name in self.columns}
+
+
+def _as_text(column: pa.Array) -> pa.Array:
+    try:
+        return column.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        return pa.array([v if v is None else v.decode("utf-8", "replace") for v in column.to_pylist()], pa.string())

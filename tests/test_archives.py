@@ -8,6 +8,7 @@ import minifeed
 import pytest
 from pyspark.sql import functions as F
 
+from stopline.period import Period
 from stopline.sources import archives
 from stopline.sources.feed_csv import read_feed_period
 
@@ -46,7 +47,7 @@ def test_same_rows_as_from_directories(spark, root, way, tmp_path, table):
 
 
 def test_pieces_number_lines_without_gaps(spark, tmp_path, monkeypatch, way):
-    n = 2 * archives._ROWS + 7
+    n = 2 * archives._LINES_AT_ONCE + 7
     with zipfile.ZipFile(tmp_path / "sweden-20251001.zip", "w", zipfile.ZIP_DEFLATED) as archive:
         archive.writestr("stop_times.txt", "stop_id\r\n" + "".join(f"s{i}\r\n" for i in range(n - 1)))
     lines = archives.archive_lines(spark, str(tmp_path))
@@ -68,9 +69,29 @@ def test_members_of_a_large_archive_are_spread_over_tasks(spark, tmp_path, monke
 
 
 def test_quoted_fields_and_ragged_rows(spark, tmp_path, way):
-    text = 'stop_id,stop_name,zone\n1,"Torget, ""stora""",z\n2\n3,Ny,z,extra\n'
+    text = b'\xef\xbb\xbfstop_id,stop_name,zone\r\n1,"Torget, ""stora""",z\r\n2\r\n3,Ny,z,extra\r\n\r\n4,\xe5,"z"\r\n'
     with zipfile.ZipFile(tmp_path / "sweden-20251001.zip", "w") as archive:
         archive.writestr("feed/stops.txt", text)
+    for day, text in ((2, ""), (3, "stop_id,stop_name"), (4, "stop_id,stop_name\n")):
+        with zipfile.ZipFile(tmp_path / f"sweden-2025100{day}.zip", "w") as archive:
+            archive.writestr("stops.txt", text)
     got = archives.archived_table(spark, str(tmp_path), "stops", ["stop_id", "stop_name"]).orderBy("stop_id").collect()
-    assert [(row.stop_id, row.stop_name) for row in got] == [("1", 'Torget, "stora"'), ("2", None), ("3", "Ny")]
+    assert [(row.stop_id, row.stop_name) for row in got] == [
+        ("1", 'Torget, "stora"'), ("2", None), ("3", "Ny"), ("4", "\ufffd")
+    ]
     assert str(got[0].feed_date) == "2025-10-01"
+
+
+def test_as_the_csv_source_reads_it(spark, tmp_path):
+    """Many odd rows among many regular ones, over several pieces."""
+    rows = [f'{i},"n ""{i}""",{"z" * (i % 50)}' if i % 7 else f"{i}" if i % 2 else f"{i},a,b,c,d" for i in range(300_000)]
+    text = "stop_id,stop_name,zone\n" + "\n".join(rows) + "\n"
+    with zipfile.ZipFile(tmp_path / "sweden-20251001.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("stops.txt", text)
+    (tmp_path / "sweden-20251001").mkdir()
+    (tmp_path / "sweden-20251001/stops.txt").write_text(text)
+    columns = ["zone", "stop_id", "stop_name"]
+    got = archives.archived_table(spark, str(tmp_path), "stops", columns).select(columns)
+    want = read_feed_period(spark, str(tmp_path), Period.parse("2025-10-01", "2025-10-01"), "stops").select(columns)
+    assert got.count() == 300_000
+    assert got.exceptAll(want).count() == 0
