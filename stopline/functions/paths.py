@@ -18,7 +18,8 @@ def base_name(path: Column) -> Column:
 
 def parent_path(path: Column) -> Column:
     """What precedes the last slash; empty when there is none."""
-    return F.regexp_replace(path, "/?[^/]*$", "")
+    kept = F.length(path) - F.length(base_name(path)) - 1
+    return F.substr(path, F.lit(1), F.greatest(kept, F.lit(0)))
 
 
 def without_prefix(path: Column, prefix: str) -> Column:

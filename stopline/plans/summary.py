@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -13,9 +13,17 @@ from pyspark.sql import types as T
 from stopline.operators.counts import route_stats, table_counts, trips_per_route, visits_per_stop
 from stopline.operators.ranking import named_lists
 from stopline.period import Period
-from stopline.schemas import DOCUMENT_SCHEMA, FEED_DATE, LIST_SIZE, SUMMARY_COLUMNS, SUMMARY_TABLES
+from stopline.schemas import (
+    ARCHIVE_COLUMNS,
+    DOCUMENT_SCHEMA,
+    FEED_DATE,
+    LIST_SIZE,
+    SUMMARY_COLUMNS,
+    SUMMARY_TABLES,
+)
 from stopline.sinks.landing import land, read_landed
 from stopline.sinks.reports import report_lines, result_path, write_document, write_report
+from stopline.sources.archives import archive_path, archived_table
 from stopline.sources.documents import read_document
 from stopline.sources.feed_csv import read_feed_period
 
@@ -84,6 +92,20 @@ def land_feeds(spark: SparkSession, feed_root: str, lake: str, period: Period, l
         land(rows, f"{lake.rstrip('/')}/{table}", landed_days, day_by_day=True)
 
 
+def land_archives(
+    spark: SparkSession,
+    archive_root: str,
+    lake: str,
+    period: Period,
+    landed_days: str = "keep",
+    columns: Mapping[str, Sequence[str]] = ARCHIVE_COLUMNS,
+) -> None:
+    """Land tables of each day's zip archive under ``lake``. Only the archives of the period are opened."""
+    paths = [archive_path(archive_root, day) for day in period]
+    for table, wanted in columns.items():
+        land(archived_table(spark, paths, table, wanted), f"{lake.rstrip('/')}/{table}", landed_days)
+
+
 def landed_tables(spark: SparkSession, lake: str, period: Period) -> dict[str, DataFrame]:
     """The summary tables of the days of a period, with just the columns a summary uses."""
     tables = {}

@@ -22,6 +22,9 @@ from pyspark.sql import types as T
 
 from stopline.schemas import FEED_DATE
 
+# Fixed value: how the archive of a day is named.
+ARCHIVE_FILE = "sweden-%Y%m%d.zip"
+
 SMALL_ARCHIVE = 64 * 1024 * 1024
 
 _LINES_AT_ONCE = 50_000
@@ -41,13 +44,17 @@ Unpack = Callable[[str, str, zipfile.ZipExtFile], Iterator[dict[str, pa.Array]]]
 Batches = Iterator[pa.RecordBatch]
 
 
-def archive_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(archive, member, line_no, line)`` of all members of all zip files under ``path``; lines count from 0."""
+def archive_path(root: str, day: date, archive_file: str = ARCHIVE_FILE) -> str:
+    return f"{root.rstrip('/')}/{day.strftime(archive_file)}"
+
+
+def archive_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(archive, member, line_no, line)`` of all members of the zip files at or under ``path``; lines count from 0."""
     return _unpack_files(spark, path, _read_lines, _LINES, None)
 
 
-def archived_table(spark: SparkSession, path: str, table: str, columns: Sequence[str]) -> DataFrame:
-    """The given columns of one table from all zip files under ``path``, as strings, with ``feed_date``.
+def archived_table(spark: SparkSession, path: str | list[str], table: str, columns: Sequence[str]) -> DataFrame:
+    """The given columns of one table from the zip files at or under ``path``, as strings, with ``feed_date``.
 
     Columns are found by each member's own header; one that a day lacks is NULL there. The day comes from the eight digits
     that end the archive's name; it is NULL where there are none.
@@ -71,7 +78,7 @@ def _table_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def _unpack_files(
-    spark: SparkSession, path: str, unpack: Unpack, schema: T.StructType, only: str | None
+    spark: SparkSession, path: str | list[str], unpack: Unpack, schema: T.StructType, only: str | None
 ) -> DataFrame:
     files = spark.read.format("binaryFile").options(pathGlobFilter="*.zip", recursiveFileLookup=True).load(path)
     small = files.filter(F.col("length") <= SMALL_ARCHIVE).select("path", "content")
@@ -170,6 +177,8 @@ class _TableReader:
     """
 
     def __init__(self, columns: Sequence[str]) -> None:
+        if not columns:
+            raise ValueError("name at least one column")
         self.columns = list(columns)
 
     def __call__(self, path: str, member: str, stream: zipfile.ZipExtFile) -> Iterator[dict[str, pa.Array]]:

@@ -11,7 +11,7 @@ import pytest
 
 from stopline.operators import counts, quality, ranking
 from stopline.period import Period
-from stopline.plans.summary import land_feeds, landed_tables, run_summary, summary_document
+from stopline.plans.summary import land_archives, land_feeds, landed_tables, run_summary, summary_document
 from stopline.schemas import SUMMARY_TABLES
 from stopline.sinks import reports
 from stopline.sinks.landing import land, read_landed
@@ -156,6 +156,18 @@ def test_run(spark, feed_root, tmp_path):
     assert series["least_stops"].avg_visits == [0.5, 0.5, 0.5]
 
 
+def test_archives_give_the_same_summary(spark, tmp_path):
+    root = minifeed.write_archives(tmp_path / "zips")
+    (tmp_path / "zips/sweden-20251003.zip").write_text("no archive, and not of the period")
+    lake = str(tmp_path / "lake")
+    land_archives(spark, root, lake, minifeed.PERIOD)
+    row = summary_document(landed_tables(spark, lake, minifeed.PERIOD), minifeed.PERIOD).first()
+    assert row.counts.asDict() == minifeed.COUNTS
+    assert [tuple(stop) for stop in row.top_stops] == minifeed.TOP
+    assert [tuple(stop) for stop in row.least_stops] == minifeed.LEAST
+    assert tuple(row.route_stats) == (4, 1.5, 3)
+
+
 def test_summary_of_an_empty_day(spark, feed_root, tmp_path):
     lake = str(tmp_path / "lake")
     land_feeds(spark, feed_root, lake, minifeed.PERIOD)
