@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from datetime import datetime
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,14 +87,17 @@ def archive_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _zip_orders(orders: DataFrame) -> DataFrame:
     """``(path, content)``: each Arrow batch of orders as one zip archive with one CSV member."""
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import csv
+
         for rows in batches:
             buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("trips.txt", rows.to_csv(index=False))
-            yield pd.DataFrame({"path": [f"orders-{rows.iloc[0, 0]}.zip"], "content": [buffer.getvalue()]})
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive, archive.open("trips.txt", "w") as member:
+                csv.write_csv(rows, member)
+            name = f"orders-{rows['o_orderkey'][0]}.zip"
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([buffer.getvalue()])], names=["path", "content"])
 
-    return orders.select("o_orderkey", "o_custkey", "o_orderpriority").mapInPandas(pack, "path string, content binary")
+    return orders.select("o_orderkey", "o_custkey", "o_orderpriority").mapInArrow(pack, "path string, content binary")
 
 
 @query

@@ -103,7 +103,8 @@ def land_archives(
     """Land tables of each day's zip archive under ``lake``. Only the archives of the period are opened."""
     paths = [archive_path(archive_root, day) for day in period]
     for table, wanted in columns.items():
-        land(archived_table(spark, paths, table, wanted), f"{lake.rstrip('/')}/{table}", landed_days)
+        rows = archived_table(spark, paths, table, wanted, spread=True)
+        land(rows, f"{lake.rstrip('/')}/{table}", landed_days, day_by_day=True)
 
 
 def landed_tables(spark: SparkSession, lake: str, period: Period) -> dict[str, DataFrame]:

@@ -50,16 +50,24 @@ def archive_path(root: str, day: date, archive_file: str = ARCHIVE_FILE) -> str:
 
 def archive_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(archive, member, line_no, line)`` of all members of the zip files at or under ``path``; lines count from 0."""
-    return _unpack_files(spark, path, _read_lines, _LINES, None)
+    small, large = _unpack_files(spark, path, _read_lines, _LINES, None)
+    return small.unionByName(large)
 
 
-def archived_table(spark: SparkSession, path: str | list[str], table: str, columns: Sequence[str]) -> DataFrame:
+def archived_table(
+    spark: SparkSession, path: str | list[str], table: str, columns: Sequence[str], spread: bool = False
+) -> DataFrame:
     """The given columns of one table from the zip files at or under ``path``, as strings, with ``feed_date``.
 
     Columns are found by each member's own header; one that a day lacks is NULL there. The day comes from the eight digits
     that end the archive's name; it is NULL where there are none.
+
+    With ``spread`` the rows of large archives are dealt out evenly, so that what comes next is not done by the one task
+    that can unpack a member. (By day would not do: what one task shuffles to one key cannot be split.) It pays for costly
+    steps such as writing, not for counting.
     """
-    return _unpack_files(spark, path, _TableReader(columns), _table_schema(columns), f"{table}.txt")
+    small, large = _unpack_files(spark, path, _TableReader(columns), _table_schema(columns), f"{table}.txt")
+    return small.unionByName(large.hint("rebalance") if spread else large)
 
 
 def unpack_lines(archives: DataFrame) -> DataFrame:
@@ -79,7 +87,8 @@ def _table_schema(columns: Sequence[str]) -> T.StructType:
 
 def _unpack_files(
     spark: SparkSession, path: str | list[str], unpack: Unpack, schema: T.StructType, only: str | None
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of small and of large archives."""
     files = spark.read.format("binaryFile").options(pathGlobFilter="*.zip", recursiveFileLookup=True).load(path)
     small = files.filter(F.col("length") <= SMALL_ARCHIVE).select("path", "content")
     # Few short rows with much work behind each: a fixed number of partitions keeps adaptive execution from putting them
@@ -87,9 +96,7 @@ def _unpack_files(
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     large = files.filter(F.col("length") > SMALL_ARCHIVE).select("path").repartition(tasks)
     members = large.mapInArrow(_list_members(only), "path string, member string").repartition(tasks)
-    return small.mapInArrow(_from_content(unpack, only), schema).unionByName(
-        members.mapInArrow(_from_storage(unpack), schema)
-    )
+    return small.mapInArrow(_from_content(unpack, only), schema), members.mapInArrow(_from_storage(unpack), schema)
 
 
 def _from_content(unpack: Unpack, only: str | None):

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stopline.period import Period
+from stopline.sinks.landing import land, read_landed
 from stopline.sources import archives
 from stopline.sources.feed_csv import read_feed_period
 
@@ -95,3 +96,23 @@ def test_as_the_csv_source_reads_it(spark, tmp_path):
     want = read_feed_period(spark, str(tmp_path), Period.parse("2025-10-01", "2025-10-01"), "stops").select(columns)
     assert got.count() == 300_000
     assert got.exceptAll(want).count() == 0
+
+
+def test_a_large_archive_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "SMALL_ARCHIVE", 100_000)
+    for day, n in ((1, 200_000), (2, 100)):
+        with zipfile.ZipFile(tmp_path / f"sweden-2025100{day}.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("stop_times.txt", "stop_id\n" + "".join(f"{i * 7919 % 1000003}\n" for i in range(n)))
+    sizes = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    for size in sizes:
+        spark.conf.set(size, "200k")
+    try:
+        rows = archives.archived_table(spark, str(tmp_path), "stop_times", ["stop_id"], spread=True)
+        land(rows, str(tmp_path / "landed"), day_by_day=True)
+    finally:
+        for size in sizes:
+            spark.conf.unset(size)
+    landed = read_landed(spark, str(tmp_path / "landed"))
+    files = landed.groupBy("feed_date").agg(F.count_distinct("_metadata.file_path").alias("f"), F.count("*").alias("n"))
+    assert {row.feed_date.day: row.n for row in files.collect()} == {1: 200_000, 2: 100}
+    assert {row.feed_date.day: row.f > 1 for row in files.collect()} == {1: True, 2: False}
