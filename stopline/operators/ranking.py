@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from stopline.functions.text import name_or_unknown
 from stopline.operators.dimensions import latest_stops
 
-# Up to this many ranked stops (a key each, so well below 1 MiB) may be sent to all executors.
-_BROADCAST_STOPS = 10_000
+# Up to this many ranked stops (some numbers each, so about 1 MiB) may be sent to all executors.
+_SMALL_LIST = 10_000
 
 _COLUMNS = ("stop_id", "stop_name", "total_visits", "avg_visits_per_day")
 
@@ -42,8 +42,10 @@ def named_list(per_stop: DataFrame, stops: DataFrame, k: int, ascending: bool =
     move a limit below a left join by itself.
     """
     chosen = extreme_stops(per_stop, k, ascending)
-    named = with_names(chosen, _snapshots_of(chosen, stops, k))
-    return named.orderBy(*list_order(ascending)).limit(k)
+    if k <= _SMALL_LIST:
+        chosen = _computed_once(chosen)
+        stops = _snapshots_of(chosen, stops)
+    return with_names(chosen, stops).orderBy(*list_order(ascending)).limit(k)
 
 
 def named_lists(per_stop: DataFrame, stops: DataFrame, k: int) -> DataFrame:
@@ -53,8 +55,11 @@ def named_lists(per_stop: DataFrame, stops: DataFrame, k: int) -> DataFrame:
         "list_name", F.lit("least_stops")
     )
     both = top.unionByName(least)
-    names = latest_stops(_snapshots_of(both, stops, 2 * k))
-    named = both.join(names, "stop_id", "left").withColumn("stop_name", name_or_unknown(F.col("stop_name")))
+    if 2 * k <= _SMALL_LIST:
+        both = _computed_once(both)
+        stops = _snapshots_of(both, stops)
+    named = both.join(latest_stops(stops), "stop_id", "left")
+    named = named.withColumn("stop_name", name_or_unknown(F.col("stop_name")))
     return named.select("list_name", "rank", *_COLUMNS)
 
 
@@ -64,8 +69,14 @@ def with_rank(chosen: DataFrame, ascending: bool = False) -> DataFrame:
     return chosen.withColumn("rank", place.cast("bigint"))
 
 
-def _snapshots_of(chosen: DataFrame, stops: DataFrame, size: int) -> DataFrame:
-    """The snapshots of few chosen stops; of many, all snapshots, which are cut to one per stop before they are joined."""
-    if size > _BROADCAST_STOPS:
-        return stops
-    return stops.join(F.broadcast(chosen.select("stop_id")), "stop_id", "left_semi")
+def _computed_once(few: DataFrame) -> DataFrame:
+    """The same few rows, from a scalar subquery: used twice in a query, they are computed once.
+
+    Without it the reduce side of the counts would be read again for each use.
+    """
+    rows = few.agg(F.collect_list(F.struct("*")).alias("rows"))
+    return few.sparkSession.range(0, 1, 1, 1).select(F.inline(rows.scalar()))
+
+
+def _snapshots_of(few: DataFrame, stops: DataFrame) -> DataFrame:
+    return stops.join(F.broadcast(few.select("stop_id")), "stop_id", "left_semi")
