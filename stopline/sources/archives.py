@@ -14,6 +14,7 @@ import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from datetime import date, datetime
 from itertools import islice
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -136,8 +137,8 @@ def _open_storage(path: str):
     from pyarrow import fs
 
     if path.startswith("file:"):
-        path = "file:///" + path.removeprefix("file:").lstrip("/")
-    store, inner = fs.FileSystem.from_uri(path)
+        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    store, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
     return store.open_input_file(inner)
 
 

@@ -16,7 +16,7 @@ from stopline.sources.feed_csv import read_feed_period
 
 @pytest.fixture(scope="module")
 def root(tmp_path_factory):
-    return minifeed.write_archives(tmp_path_factory.mktemp("archives"))
+    return minifeed.write_archives(tmp_path_factory.mktemp("archives") / "Åre 100% #1")
 
 
 @pytest.fixture(params=["content", "storage"])
