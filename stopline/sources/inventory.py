@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +12,8 @@ from stopline.schemas import FEED_DATE
 
 
 def records_per_file(rows: DataFrame) -> DataFrame:
-    """``(path, n_records)`` of a file-based scan; on Parquet only the footers are read."""
-    return rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n_records"))
+    """``(uri, n_records)`` of a file-based scan; on Parquet only the footers are read."""
+    return rows.groupBy(F.col("_metadata.file_path").alias("uri")).agg(F.count("*").alias("n_records"))
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
@@ -28,15 +27,15 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile")
         .options(recursiveFileLookup=True)
         .load(root)
-        .select(F.col("_metadata.file_path").alias("path"), "length")
+        .select("path", "length", F.col("_metadata.file_path").alias("uri"))
     )
     # Tables of all kinds are counted together. No column is read, so any schema does; naming one spares looking for it.
     counted = records_per_file(
         spark.read.schema("unread INT").options(recursiveFileLookup=True, pathGlobFilter="*.parquet").parquet(root)
     )
-    below = re.escape(urlparse(root).path.rstrip("/"))
+    below = re.escape(re.sub(r"^\w[\w+.-]*:(//[^/]*)?", "", root).rstrip("/"))
     day = F.regexp_extract("path", f"/{FEED_DATE}=([^/]*)/", 1)
-    return listing.join(counted, "path", "left").select(
+    return listing.join(counted, "uri", "left").select(
         F.nullif(F.regexp_extract("path", f"{below}/([^/]+)/", 1), F.lit("")).alias("dataset"),
         F.try_to_date(F.nullif(day, F.lit("")), "yyyy-MM-dd").alias(FEED_DATE),
         "path",

@@ -40,7 +40,7 @@ def test_inventory_lists_names_sizes_and_records(spark, tmp_path):
 
 
 def test_inventory_of_all_kinds_of_files(spark, tmp_path):
-    lake = str(tmp_path / "lake")
+    lake = str(tmp_path / "lake åre 100%")
     spark.range(5).write.parquet(f"{lake}/2025-09/gtfs/stops")
     spark.range(7).selectExpr("CAST(id AS STRING) AS name").coalesce(1).write.parquet(f"{lake}/2025-10/gtfs/routes")
     spark.range(3).selectExpr("'line'").coalesce(1).write.text(f"{lake}/2025-10/analytics")
