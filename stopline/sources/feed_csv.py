@@ -31,7 +31,7 @@ def read_feed_period(spark: SparkSession, root: str, period: Period, table: str,
     """All days of one feed table, matched by column name, with ``feed_date`` added.
 
     Each day is a scan of its own. A scan over several files would map columns by position, under whichever header it saw
-    first, and would have to work out the day of each row from its path, which takes longer than parsing the row. Columns a
+    first, and would have to work out the day of each row from its path, which takes as long as parsing the row. Columns a
     day lacks are NULL there. A day without the file is an error.
     """
     with ThreadPool(_HEADERS_AT_ONCE) as pool:  # Spark looks at a file's header as soon as the scan is defined
