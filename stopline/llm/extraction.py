@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,8 +38,8 @@ _GROUPS = (
     tuple(INSIDE_TAGS),
     tuple(AROUND_TAGS),
 )
-#: From this place on features are names of tags and attributes, own or of ancestors, which half of the lessons go without.
-_NAMED = 13
+#: The place of the depth, and the one from which on features are names of tags and attributes, own or of ancestors.
+_DEPTH, _NAMED = 7, 13
 
 
 def _marks(node) -> tuple[bool, bool]:
@@ -104,18 +105,36 @@ def lessons(page: Page) -> list[bool]:
     return [inside and not around for around, inside in said]
 
 
+def _variants(given: np.ndarray, labels: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each element three times, so that one layout's habits are not all that is learned.
+
+    As it is; with the shape of another element of the page, which leaves the names to decide, and for a third of them a
+    name that marks what is no article, own or of an ancestor, wherever they stand; and without names, which leaves the
+    shape. How deep a page starts is drawn anew for each.
+    """
+    draw = np.random.default_rng(seed)
+    named, bare, renamed = given.copy(), given.copy(), labels.copy()
+    named[:, :_NAMED] = draw.permutation(named[:, :_NAMED])
+    for place in (_NAMED, _NAMED + 2):
+        chosen = draw.random(len(given)) < 1 / 6
+        named[chosen, place] = 1
+        renamed[chosen] = 0
+    bare[:, _NAMED:] = 0
+    variants = [given.copy(), named, bare]
+    for x in variants:
+        x[:, _DEPTH] += draw.integers(0, 8)
+    return np.concatenate(variants), np.concatenate([labels, renamed, labels])
+
+
 def _lesson_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each element as it is, and once without the names of tags and attributes."""
     for batch in batches:
         rows, labels = [], []
         for source in batch["html"].to_pylist():
             page = parse(source or "")
-            given = described(page)
-            bare = given.copy()
-            bare[:, _NAMED:] = 0
-            rows += [*given.tolist(), *bare.tolist()]
-            labels += lessons(page) * 2
-        yield pa.RecordBatch.from_pydict({"features": pa.array(rows, pa.list_(pa.float64())), "label": pa.array(labels, pa.float64()) if not labels else pa.array([float(x) for x in labels])})
+            given = _variants(described(page), np.array(lessons(page), float), zlib.crc32((source or "").encode()))
+            rows += given[0].tolist()
+            labels += given[1].tolist()
+        yield pa.RecordBatch.from_pydict({"features": pa.array(rows, pa.list_(pa.float64())), "label": pa.array(labels, pa.float64())})
 
 
 @dataclass(frozen=True)
@@ -157,7 +176,7 @@ def _arrays(tree) -> tuple[np.ndarray, ...]:
 
 
 def learned(pages: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Boosted trees learned from the elements of at most ``sample`` pages; half of the lessons go without names.
+    """Boosted trees learned from the elements of at most ``sample`` pages, each in three variants.
 
     Without lessons of both kinds (as when there are no pages) every element counts as the article's.
     """
@@ -165,7 +184,7 @@ def learned(pages: DataFrame, sample: int = SAMPLE) -> Trees:
     rows = cut(some.mapInArrow(_lesson_rows, "features array<double>, label double").select(array_to_vector("features").alias("features"), "label"))
     if rows.select("label").distinct().count() < 2:
         return Trees((), (), 1.0)
-    model = GBTClassifier(maxIter=10, maxDepth=4, stepSize=0.3, seed=7).fit(rows)
+    model = GBTClassifier(maxIter=12, maxDepth=5, stepSize=0.3, seed=7).fit(rows)
     return Trees(tuple(_arrays(t) for t in model.trees), tuple(model.treeWeights))
 
 

@@ -1,5 +1,179 @@
-"""The queries as SQL for DuckDB, where SQL can express them."""
+"""The queries as SQL for DuckDB, where SQL can express them.
+
+Hashes of 64 bits (2), learned models (1, 5, pipeline) and tokenizers (10) are beyond SQL; tests hold those queries against
+brute force.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_BLANKS = r"\x20\x09-\x0D"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_LINES = rf"""
+WITH numbered AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no
+  FROM documents WHERE text IS NOT NULL
+), lines AS (
+  SELECT doc_id, line_no, line, trim(regexp_replace({_LOWER.replace("text", "line")}, '[{_BLANKS}]+', ' ', 'g'), ' ') AS norm FROM numbered
+), contents AS (
+  SELECT norm, min({{'doc': doc_id, 'line': line_no}}) AS place, string_split(norm, ' ') AS words FROM lines WHERE norm <> '' GROUP BY norm
+), variants AS (
+  SELECT norm, place, len(words) AS n, unnest(range(1, len(words) + 1)) AS gap, words FROM contents WHERE len(words) >= 5
+), gaps AS (
+  SELECT norm, place, n, gap, array_to_string(list_concat(words[:gap - 1], words[gap + 1:]), ' ') AS rest FROM variants
+), near AS (
+  SELECT a.norm FROM gaps a JOIN (SELECT n, gap, rest, min(place) AS place FROM gaps GROUP BY ALL) b USING (n, gap, rest) WHERE b.place < a.place
+  UNION SELECT a.norm FROM gaps a JOIN contents b ON a.rest = b.norm WHERE len(b.words) >= 5 AND b.place < a.place
+  UNION SELECT b.norm FROM gaps a JOIN contents b ON a.rest = b.norm WHERE len(b.words) >= 5 AND a.place < b.place
+), judged AS (
+  SELECT l.doc_id, l.line_no, l.line,
+    l.norm = '' OR (n.norm IS NULL AND c.place = {{'doc': l.doc_id, 'line': l.line_no}}) AS stays
+  FROM lines l LEFT JOIN contents c USING (norm) LEFT JOIN near n USING (norm)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (stays) AS n_kept,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (stays), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+_CRC_STEP = "CASE WHEN {0} & 1 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
+
+
+def _crc_table() -> str:
+    """The 256 remainders of the checksum, from its polynomial: eight shifts of each byte."""
+    steps = "n"
+    for _ in range(8):
+        steps = f"list_transform([{steps}], lambda v: {_CRC_STEP.format('v')})[1]"
+    return f"(SELECT list({steps} ORDER BY n) AS remainders FROM range(256) t(n))"
+
+
+_SHARDS = f"""
+WITH bytes AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), sums AS (
+  SELECT doc_id, size, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(size - 1), lambda i: ('0x' || substr(digits, 2 * i + 1, 2))::BIGINT)),
+    lambda sum, byte: xor(sum >> 8, remainders[(xor(sum, byte) & 255) + 1])), 4294967295::BIGINT) AS text_crc32
+  FROM bytes, {_crc_table()}
+), placed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) - size AS start, sum(size) OVER () AS total FROM sums
+), cut AS (
+  SELECT *, (((2 * start + size) * 16) // (2 * total))::INT AS shard FROM placed
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  (row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM cut
+"""
+
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_CONTAMINATION = rf"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '{_WORD}') AS words FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(words), 13) AS length,
+    array_to_string(words[i:i + least(len(words), 13) - 1], ' ') AS part
+  FROM (SELECT *, unnest(range(1, len(words) - least(len(words), 13) + 2)) AS i FROM items WHERE len(words) > 0)
+), docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS words FROM documents
+), found AS (
+  SELECT DISTINCT d.doc_id, d.i, d.length, w.item_id FROM (
+    SELECT doc_id, length, i, array_to_string(words[i:i + length - 1], ' ') AS part FROM (
+      SELECT doc_id, words, length, unnest(range(1, len(words) - length + 2)) AS i
+      FROM docs, (SELECT DISTINCT length FROM windows) WHERE len(words) >= length)
+  ) d JOIN windows w USING (length, part)
+), hit AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + length)) AS spot FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.words) AS contaminated
+FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+_QUALITY = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^{_BLANKS}]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS part FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM docs WHERE len(words) >= 8)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT spot) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 8)) AS spot FROM windows JOIN (SELECT doc_id, part FROM windows GROUP BY ALL HAVING count(*) > 1) USING (doc_id, part)
+  ) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, host, line, regexp_extract_all(line, '[^{_BLANKS}]+') AS words FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM docs)
+), equal AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE len(words) > 0 GROUP BY doc_id
+), normal AS (
+  SELECT doc_id, host, len(words) AS n, regexp_replace(array_to_string(
+    regexp_extract_all({_LOWER.replace("text", "line")}, '[^{_BLANKS}]+'), ' '), '[0-9]+', '0', 'g') AS line
+  FROM lines WHERE len(words) > 0
+), frequent AS (
+  SELECT host, line FROM normal GROUP BY ALL HAVING count(DISTINCT doc_id) > 10
+), gone AS (
+  SELECT doc_id, sum(n) AS n FROM normal JOIN frequent USING (host, line) GROUP BY doc_id
+), counted AS (
+  SELECT d.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(e.n, 0)::BIGINT AS n_dup_lines,
+    coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(g.n, 0)::BIGINT AS n_frequent_words
+  FROM docs d LEFT JOIN repeated r USING (doc_id) LEFT JOIN equal e USING (doc_id) LEFT JOIN gone g USING (doc_id)
+), failed AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted
+)
+SELECT *, NOT base_failed AND 2 * n_frequent_words <= n_words AND n_words - n_frequent_words >= 20 AS kept FROM failed
+"""
+
+_PREFERENCE = """
+WITH chosen AS (
+  SELECT conv_id AS pair_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS position, turn, role, text FROM conversations
+), last AS (
+  SELECT conv_id AS pair_id, max(turn) AS turn, max_by(text, turn) AS text FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+), rejected AS (
+  SELECT pair_id, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role) - 1 AS position, role, text FROM (
+    SELECT c.conv_id AS pair_id, c.turn, c.role, CASE WHEN l.turn IS NULL THEN c.text ELSE o.text END AS text,
+      l.turn IS NOT NULL AND o.pair_id IS NULL AS left_out
+    FROM conversations c LEFT JOIN last l ON l.pair_id = c.conv_id AND l.turn = c.turn AND c.role = 'assistant'
+    LEFT JOIN last o ON o.pair_id = xor(c.conv_id, 1)
+  ) WHERE NOT left_out
+), forks AS (
+  SELECT pair_id, min(position) AS fork FROM chosen c FULL JOIN rejected r USING (pair_id, position)
+  WHERE c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text GROUP BY pair_id
+), parts AS (
+  SELECT c.pair_id, CASE WHEN fork IS NULL OR position < fork THEN 'prompt' ELSE 'chosen' END AS part, position, role, text
+  FROM chosen c LEFT JOIN forks USING (pair_id)
+  UNION ALL SELECT r.pair_id, 'rejected', position, role, text FROM rejected r JOIN forks USING (pair_id) WHERE position >= fork
+), written AS (
+  SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered FROM parts
+), placed AS (
+  SELECT *, (sum(length(rendered)) OVER (PARTITION BY pair_id, part ORDER BY position) - length(rendered))::BIGINT AS start FROM written
+)
+SELECT pair_id, part, position, role, rendered, start,
+  start + CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(role) + 5 ELSE 0 END AS learn_from,
+  start + CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(rendered) ELSE 0 END AS learn_to
+FROM placed
+"""
+
+_SUBSTRINGS = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^{_BLANKS}]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS part FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM docs WHERE len(words) >= 13)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS spot FROM windows JOIN (SELECT part, min(doc_id) AS least FROM windows GROUP BY part) USING (part) WHERE doc_id > least
+), each AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS spot FROM docs
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY spot) AS words, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, spot) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, (len(d.words) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.words, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": _LINES,
+    "op4_sharding": _SHARDS,
+    "op6_decontamination": _CONTAMINATION,
+    "op7_quality": _QUALITY,
+    "op8_preference": _PREFERENCE,
+    "op9_substrings": _SUBSTRINGS,
+}

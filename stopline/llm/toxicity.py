@@ -24,8 +24,13 @@ INSULTS = "idiot moron loser scum trash clown pathetic worthless stupid disgusti
 #: Lexicon voters, and words and stems in each.
 LEXICONS, ENTRIES = 24, 8
 #: Words and stems of the classifier, and documents that one must be in.
-VOCABULARY, LEAST_DOCUMENTS = 20_000, 4
+VOCABULARY, LEAST_DOCUMENTS = 5_000, 4
+#: How surely a word must mark toxic documents to be in a lexicon, were there as many of them as of others.
+PRECISION = 0.98
+#: The accuracy that given labels are known to have; the other voters' is estimated.
+GIVEN = 0.98
 STEMS = (4, 5, 6)
+REGULARITY = 1e-4
 _WORD = re.compile(r"[^\W\d_]+")
 #: Patterns that vote for abuse where they are found (true) or for its absence.
 PATTERNS = (
@@ -78,14 +83,17 @@ class LabelModel:
         score = np.log(self.prior / (1 - self.prior)) + self._evidence(votes)
         return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
 
-    def fit(self, votes: np.ndarray, start: np.ndarray, rounds: int = 20) -> LabelModel:
-        """``start``: a first guess of the labels' chances, between 0 and 1."""
+    def fit(self, votes: np.ndarray, start: np.ndarray, given: int | None = None, rounds: int = 20) -> LabelModel:
+        """``start``: a first guess of the labels' chances, between 0 and 1; ``given``: the voter whose accuracy is known."""
         n, m = votes.shape
         kinds = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
         weight = start
         for _ in range(rounds):
             both = np.stack([1 - weight, weight])
             self.chances = (np.einsum("yn,nmv->myv", both, kinds) + 0.5) / (both.sum(1)[None, :, None] + 1.5)
+            if given is not None:
+                self.chances[given] = [[GIVEN, 0.0, 1 - GIVEN], [1 - GIVEN, 0.0, GIVEN]]
+                self.chances[given] += 1e-6
             self.prior = float(np.clip(weight.mean(), 1e-3, 1 - 1e-3))
             expected = np.einsum("yn,myv,v->nm", both, self.chances, np.array([-1.0, 0.0, 1.0]))
             rest = votes - expected
@@ -104,9 +112,8 @@ def _lexicons(rows: pd.DataFrame) -> list[list[str]]:
     for found, toxic in zip(rows["features"], rows["toxic"], strict=True):
         (inside if toxic else outside).update(found)
     n, m = max(1, int(rows["toxic"].sum())), max(1, int((1 - rows["toxic"]).sum()))
-    odds = {f: np.log((c + 0.5) / n) - np.log((outside[f] + 0.5) / m) for f, c in inside.items() if c >= LEAST_DOCUMENTS}
-    weighed = sorted(((odds[f] * np.sqrt(inside[f]), f) for f in odds if odds[f] > 1), reverse=True)
-    best = [f for _, f in weighed[: (LEXICONS - 1) * ENTRIES]]
+    sure = {f: c for f, c in inside.items() if c >= 2 * LEAST_DOCUMENTS and c / n > PRECISION / (1 - PRECISION) * outside[f] / m}
+    best = sorted(sure, key=lambda f: (-sure[f], f))[: (LEXICONS - 1) * ENTRIES]
     return [INSULTS, *([best[i::LEXICONS - 1] for i in range(LEXICONS - 1)] if best else [])]
 
 
@@ -176,23 +183,23 @@ def learned(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Cl
     known = F.array(*(F.lit(w) for w in sorted(strong)))
     voted = rows.select("doc_id", "toxic", F.array_intersect("features", known).alias("features"), "patterns").toPandas()  # at most ``sample`` rows of voters
     votes = _votes(voted, _lexicons(voted))
-    chances = LabelModel().fit(votes, np.where(voted["toxic"] == 1, 0.95, 0.05)).posterior(votes)
+    chances = LabelModel().fit(votes, np.where(voted["toxic"] == 1, 0.95, 0.05), votes.shape[1] - 1).posterior(votes)
     inferred = rows.sparkSession.createDataFrame(pd.DataFrame({"_id": voted["doc_id"], "_chance": chances}))
     both = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("_chance").alias("weight")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("_chance")).alias("weight")))).alias("kind")
     known_rows = rows.join(F.broadcast(inferred), F.col("doc_id") == F.col("_id")).select("features", both).select("features", "kind.*").filter("weight > 0.001")
     counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="features", outputCol="vector").setBinary(True)
     vectors = cut(counter.transform(known_rows).select("vector", "label", "weight"))
-    model = LogisticRegression(featuresCol="vector", labelCol="label", weightCol="weight", regParam=0.002, maxIter=40, standardization=False).fit(vectors)
+    model = LogisticRegression(featuresCol="vector", labelCol="label", weightCol="weight", regParam=REGULARITY, maxIter=60, standardization=False).fit(vectors)
     weights = {w: float(x) for w, x in zip(vocabulary, model.coefficients.toArray(), strict=True) if abs(x) > 1e-6}
     return Classifier(weights, float(model.intercept))
 
 
 def scored(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Every row of the documents with all its columns, and ``_held_out`` and ``_score``."""
+    """Every row of the documents with all its columns, and ``_held_out`` and ``_score`` (in place of any so named)."""
     model = learned(documents, labels, sample)
     return documents.withColumn("_held_out", held_out(F.col("doc_id"))).withColumn("_score", model.column(F.col("text")))
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below 0.5, with all their columns."""
-    return scored(documents, labels).filter(F.col("_score") < 0.5).drop("_held_out", "_score")
+    return documents.filter(learned(documents, labels).column(F.col("text")) < 0.5)

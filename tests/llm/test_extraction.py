@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import html
+import re
+
+import pandas as pd
+import pytest
+from conftest_llm import SF_DIR
+
+from stopline.llm.dom import parse
+from stopline.llm.extraction import decided, described, extracted, learned, lessons, main_text
+from stopline.llm.queries import op5_extraction
+
+
+@pytest.fixture(scope="module")
+def trees(spark):
+    return learned(spark.read.parquet(f"{SF_DIR}/pages.parquet"))
+
+
+def article(source):
+    """The given pages have one article without anything else in it."""
+    body = re.search(r"<article>(.*)</article>", source, re.S)[1]
+    blocks = re.split(r"</?(?:p|h[1-6])>", re.sub(r"</?b>|<br>", " ", body))
+    return "\n".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
+
+
+def test_all_pages(spark):
+    got = op5_extraction(spark, SF_DIR).toPandas().set_index("page_id")
+    pages = pd.read_parquet(f"{SF_DIR}/pages.parquet").set_index("page_id")
+    assert len(got) == len(pages)
+    assert got["text"].to_dict() == {i: article(h) for i, h in pages["html"].items()}
+    assert (got["n_chars"] == got["text"].str.len()).all()
+
+
+PROSE = "This is a sentence of the article, and it goes on for a while. Then there is another one, with a few commas, too. "
+OTHER = f"""<html><head><title>T</title><style>a</style></head><body><div id="masthead"><a href=/>Home</a> <a href=/x>News</a></div>
+<ul class=menu><li><a href=1>One<li><a href=2>Two</ul><main><h1>A &amp; B&#33;</h1><p>{PROSE * 3}<p>{PROSE * 2}
+ more&nbsp;text<script>var x="</p>"</script><div class="advert">Buy now</div><p>{PROSE * 2}</p>
+<form><input name=q><label>Search</label><textarea>typed</textarea></form><section id="comments"><p>{PROSE}</p></section></main>
+<aside><p>Read this too</p></aside><!-- hidden <p>note</p> --><footer>&copy; 2024</footer></body></html>"""
+
+
+def test_other_layout(trees):
+    got = main_text(OTHER, trees).split("\n")
+    clean = " ".join((PROSE * 2).split())
+    assert got[0] == "A & B!" and got[1] == " ".join((PROSE * 3).split()) and got[2] == f"{clean} more text" and got[-1] == clean
+    assert len(got) == 4
+
+
+@pytest.mark.parametrize("source", [None, "", "   ", "<", "<p", "<!--", "</p></div>", "<p>a<b>b<i>c", "<script>never closed", "<a><a><a>", "&", "<div " + "x" * 50000, "<div>" * 3000 + "deep" + "</div>" * 10])
+def test_broken_pages_do_not_fail(trees, source):
+    assert isinstance(main_text(source, trees), str)
+
+
+def test_nothing_stays_in_what_goes(trees):
+    page = parse(OTHER)
+    for chance in (trees.chance(described(page)), described(page)[:, 9] % 1):
+        kept = decided(page, chance)
+        assert all(kept[n.parent] or not kept[i] for i, n in enumerate(page.nodes) if i)
+    assert any(lessons(page)) and not all(lessons(page))
+
+
+def test_odd_tables(spark):
+    rows = [(1, None, None, "x"), (None, "u", "<p>Some text.</p>", "x"), (2, "u", "", "x"), (2, "u", "", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = extracted(pages).collect()
+    assert len(got) == 4 and sorted(r["n_chars"] for r in got)[:3] == [0, 0, 0]
+    assert extracted(pages.limit(0)).count() == 0

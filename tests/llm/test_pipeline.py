@@ -1,0 +1,68 @@
+"""The pipeline's stages on the given documents: each acts on what the one before it kept."""
+
+from __future__ import annotations
+
+import pandas as pd
+import pytest
+from conftest_llm import SF_DIR
+
+import corpus_pipeline
+from stopline.llm.decontamination import contamination
+from stopline.llm.simhash import near_copies
+
+
+@pytest.fixture(scope="module")
+def steps(spark, tmp_path_factory):
+    docs, made = spark.read.parquet(f"{SF_DIR}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        stage(spark, docs, SF_DIR).write.parquet(path)
+        made.append((docs, spark.read.parquet(path)))
+        docs = made[-1][1]
+    return made
+
+
+def test_names_and_columns(steps):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "simhash", "decontamination", "packing"]
+    assert all(after.columns == before.columns and after.dtypes == before.dtypes for before, after in steps[:-1])
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_toxic_documents_go_and_others_stay(steps):
+    before, after = (set(x.toPandas()["doc_id"]) for x in steps[0])
+    labels = pd.read_parquet(f"{SF_DIR}/labels.parquet").set_index("doc_id")["toxic"]
+    kept = labels.index.isin(after)
+    assert after < before and ((labels == 0) == kept).mean() > 0.93  # about 40 toxic documents to learn from
+
+
+def test_lines_are_counted_again_and_no_text_is_emptied(steps):
+    after = steps[1][1].toPandas()
+    assert (after["n_chars"] == after["text"].str.len()).all() and after["text"].str.strip().ne("").all()
+    lines = [" ".join(x.lower().split()) for t in after["text"] for x in t.split("\n") if x.strip()]
+    assert len(lines) == len(set(lines))
+
+
+def test_one_document_of_each_group_stays(spark, steps):
+    before, after = steps[2]
+    want = {r["component_id"] for r in near_copies(before).collect()}
+    assert sorted(r["doc_id"] for r in after.collect()) == sorted(want)
+
+
+def test_contaminated_documents_go(spark, steps):
+    before, after = steps[3]
+    bad = contamination(before, spark.read.parquet(f"{SF_DIR}/benchmark.parquet")).filter("contaminated")
+    assert {r["doc_id"] for r in after.collect()} == {r["doc_id"] for r in before.collect()} - {r["doc_id"] for r in bad.collect()}
+
+
+def test_every_document_left_is_packed_once(steps):
+    before, after = (x.toPandas() for x in steps[4])
+    sums = after.groupby("doc_id").agg(length=("length", "sum"), tokens=("doc_tokens", "first"))
+    assert set(sums.index) == set(before["doc_id"]) and (sums["length"] == sums["tokens"]).all()
+
+
+def test_run_gives_the_last_stage(spark, steps):
+    same = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    got = corpus_pipeline.run(spark, SF_DIR)
+    assert got.columns == steps[-1][1].columns
+    assert got.agg({"length": "sum"}).first() == steps[-1][1].agg({"length": "sum"}).first()
+    assert set(same) <= set(got.columns)
