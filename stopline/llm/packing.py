@@ -24,6 +24,8 @@ STRIDE = 128
 NEAREST = 12
 #: Tokens that are packed together, after which a new sequence starts.
 BLOCK = 1 << 20
+#: Documents that are encoded at once.
+ROWS = 1000
 
 PIECES = T.StructType(
     [
@@ -137,8 +139,8 @@ def _pieces(path: str, context: int, with_ids: bool):
             return pa.RecordBatch.from_pydict(columns)
 
         for batch in batches:
-            for part in range(0, batch.num_rows, 256):
-                rows = batch.slice(part, 256)
+            for part in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(part, ROWS)
                 ids, bounds, stops = words.encode_texts(rows["text"])
                 extra = np.arange(1, len(bounds) + 1)
                 moved = stops + np.searchsorted(bounds, stops, side="left")  # ends of texts come before their end id

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +12,10 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-#: Words a Python worker remembers, in each of two generations.
-REMEMBERED = 300_000
+#: Words that a Python worker remembers, and as many pieces of words.
+REMEMBERED = 700_000
+#: A word that ends a sentence, whatever brackets or quotes follow.
+_STOP = r"""[.!?…。！？]["')\]}»”’]*$"""
 #: The vocabulary's own rule for splitting a word after lower-casing (fixed values).
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -31,8 +33,8 @@ class Words:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
-        self.new: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
+        self.known: dict[str, tuple] = {}
+        self.pieces: dict[str, tuple] = {}
 
     @staticmethod
     def of(path: str) -> Words:
@@ -41,23 +43,33 @@ class Words:
             setattr(kept, path, Words(path))
         return vars(kept)[path]
 
+    def piece(self, piece: str) -> tuple:
+        found = self.pieces.get(piece)
+        if found is None:
+            shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            found = self.pieces[piece] = tuple([t.id for t in self.tokenizer.model.tokenize(shown)])
+        return found
+
     def encode(self, word: str) -> tuple:
         """A word's ids. Words of Latin letters skip the parts of the tokenizer that only matter for other text."""
         if not word or max(word) >= "ƀ" or "<|" in word:
             return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        tokenize, letters = self.tokenizer.model.tokenize, self.letters
-        pieces = _PIECES.findall(word.lower())
-        return tuple(t.id for p in pieces for t in tokenize(p if p.isascii() else "".join([letters[b] for b in p.encode()])))
-
-    def ids(self, word: str) -> tuple:
-        found = self.new.get(word)
-        if found is None:
-            found = self.old.get(word)
-            if found is None:
-                found = self.encode(word)
-            if len(self.new) >= REMEMBERED:
-                self.new, self.old = {}, self.new
-            self.new[word] = found
+        lower = word.lower()
+        if lower.isalpha():
+            return self.piece(lower)
+        if lower[-1] in ".," and lower[:-1].isalpha():
+            return self.piece(lower[:-1]) + self.piece(lower[-1])
+        return tuple([i for p in _PIECES.findall(lower) for i in self.piece(p)])
+
+    def ids(self, words: list[str]) -> list[tuple]:
+        """The ids of each word. What is known is forgotten when it has become too much, and learned again."""
+        for known in (self.known, self.pieces):
+            if len(known) > REMEMBERED:
+                known.clear()
+        found = list(map(self.known.get, words))
+        for i, ids in enumerate(found):
+            if ids is None:
+                found[i] = self.known[words[i]] = self.encode(words[i])
         return found
 
     def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,10 +85,10 @@ class Words:
         coded = words.flatten().dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
         distinct = coded.dictionary.to_pylist()
-        known = [self.ids(w) for w in distinct]
+        known = self.ids(distinct)
         sizes = np.fromiter(map(len, known), np.int64, len(known))
-        ends = np.fromiter((w.rstrip("\"')]}»”’")[-1:] in _STOPS for w in distinct), bool, len(known))
-        pool = np.fromiter((i for ids in known for i in ids), np.uint32, int(sizes.sum()))
+        ends = pc.match_substring_regex(coded.dictionary, _STOP).to_numpy(zero_copy_only=False).astype(bool)
+        pool = np.fromiter(chain.from_iterable(known), np.uint32, int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
         lengths = sizes[codes]
         after = np.cumsum(lengths)
@@ -84,6 +96,3 @@ class Words:
         take = np.repeat(starts[codes] - (after - lengths), lengths) + np.arange(total)
         bounds = np.concatenate([[0], after])[np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))]
         return pool[take], bounds, np.unique(after[ends[codes]])
-
-
-_STOPS = {".", "!", "?", "…", "。", "！", "？"}
