@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: The six ASCII blanks, as a character class for Java's and DuckDB's patterns.
 BLANKS = r"\x20\x09-\x0D"
-#: Rows up to which a table of a few fixed-width columns is broadcast; it is counted first.
+#: Rows up to which a table of a few numbers a row is broadcast; it is counted first.
 BROADCAST_ROWS = 200_000
 
 
@@ -46,9 +46,16 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def small(saved: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a saved table for broadcast if it has been counted to be small; otherwise a join shuffles it."""
-    return F.broadcast(saved) if saved.limit(rows + 1).count() <= rows else saved
+def small(saved: DataFrame, held: str | None = None) -> DataFrame:
+    """Marks a saved table for broadcast if it has been counted to be small; otherwise a join shuffles it.
+
+    ``held``: a column of arrays, whose elements are counted instead of rows.
+    """
+    if held is None:
+        few = saved.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    else:
+        few = (saved.agg(F.sum(F.size(held) + 1)).first()[0] or 0) <= BROADCAST_ROWS
+    return F.broadcast(saved) if few else saved
 
 
 def partitions(spark: SparkSession) -> int:

@@ -76,7 +76,7 @@ def hits(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         found.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_set(F.struct("length", "hash")).alias("_found"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    marked = rows.join(small(found, 20_000), same, "left").select("doc_id", "text_key", "_found", _words(F.col("text")).alias("words"))
+    marked = rows.join(small(found, "_found"), same, "left").select("doc_id", "text_key", "_found", _words(F.col("text")).alias("words"))
 
     def candidates(words: Column) -> Column:
         def of(length: int) -> Column:
@@ -99,7 +99,7 @@ def hits(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _settled(marked: DataFrame, wanted: DataFrame) -> DataFrame:
     each = marked.select("doc_id", "text_key", "n_words", F.inline_outer("at"))
     owners = cut(wanted.groupBy("length", "window").agg(F.collect_set("item_id").alias("items")))
-    true = each.join(small(owners), ["length", "window"], "left").withColumn("hit", F.col("items").isNotNull())
+    true = each.join(small(owners, "items"), ["length", "window"], "left").withColumn("hit", F.col("items").isNotNull())
     return true.groupBy("doc_id", "text_key").agg(
         F.first("n_words").alias("n_words"),
         F.array_sort(F.collect_set(F.when(F.col("hit"), F.struct("at", "length")))).alias("spans"),

@@ -6,15 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stopline.llm.common import BLANKS, ascii_lower, cut, let, small, text_key
+from stopline.llm.common import BLANKS, cut, let, small, text_key
 
 #: Lines with fewer words are compared as wholes only: one word is too much of them.
 MIN_WORDS = 5
 
 
 def normalised(line: Column) -> Column:
-    """A line in lower case (A-Z) with its words joined by one blank; empty for a blank line."""
-    return F.trim(F.regexp_replace(ascii_lower(line), f"[{BLANKS}]+", " "))
+    """A line in lower case with its words joined by one blank; empty for a blank line."""
+    lower = F.lower(line)
+    odd = line.startswith(" ") | line.endswith(" ")
+    for blank in ("  ", "\t", "\r", "\v", "\f"):
+        odd = odd | line.contains(blank)
+    return F.when(odd, F.trim(F.regexp_replace(lower, f"[{BLANKS}]+", " "))).otherwise(lower)
 
 
 def _lines(documents: DataFrame, *more: Column) -> DataFrame:
@@ -25,55 +29,60 @@ def _lines(documents: DataFrame, *more: Column) -> DataFrame:
 
 def _content() -> tuple[Column, Column]:
     """Two hashes by which a line's content is known."""
-    return F.xxhash64("norm").alias("c1"), F.xxhash64(F.reverse("norm")).alias("c2")
+    return F.xxhash64("norm").alias("c1"), F.xxhash64(F.lit(0), F.col("norm")).alias("c2")
 
 
-def _halves(words: Column) -> Column:
-    """Keys of which two lines within one edited word share at least one.
+def _outlines(words: Column, segments: int) -> Column:
+    """Keys of which two lines within one edited word share at least one: the line without each of so many segments.
 
-    Cut the shorter of the two in the middle. The edit leaves its first or its last half untouched, and the other line has
-    that half too; so every line gives its halves as the shorter line, and as one that is a word longer than the other.
+    The edit is in one segment of the shorter of the two, and what is before and after it is the same in both; so every line
+    gives its keys as the shorter line, and as one that is a word longer than the other.
     """
     n = F.size(words)
 
-    def side(shorter: Column) -> list[Column]:
-        head = F.floor(shorter / 2).cast("int")
-        tail = shorter - head
-        return [
-            F.xxhash64(shorter, F.lit("head"), F.array_join(F.slice(words, F.lit(1), head), " ")),
-            F.xxhash64(shorter, F.lit("tail"), F.array_join(F.slice(words, n - tail + 1, tail), " ")),
-        ]
+    def without(shorter: Column, k: int) -> Column:
+        head = F.floor(shorter * k / segments).cast("int")
+        tail = shorter - F.floor(shorter * (k + 1) / segments).cast("int")
+        parts = [F.array_join(F.slice(words, *x), " ") for x in ((F.lit(1), head), (n - tail + 1, tail))]
+        if k in (0, segments - 1):  # nothing before the first segment, nothing after the last
+            parts = parts[1:] if k == 0 else parts[:1]
+        return F.xxhash64(shorter, F.lit(k), *parts)
 
-    return F.array_distinct(F.array(*side(n), *side(n - 1)))
+    return F.array_distinct(F.array(*(without(shorter, k) for shorter in (n, n - 1) for k in range(segments))))
+
+
+def _sharing(contents: DataFrame, outlines: Column) -> DataFrame:
+    """The contents ``(c1, c2)`` that have an outline in common with another."""
+    keys = contents.select("c1", "c2", F.explode(outlines).alias("outline"))
+    shared = keys.groupBy("outline").agg(F.count("*").alias("n")).filter("n > 1").select("outline")
+    return keys.join(shared, "outline", "left_semi").select("c1", "c2").distinct()
 
 
 def _variants(contents: DataFrame) -> DataFrame:
-    """Every content whole and without each of its words, as hashed keys: ``(c1, c2, doc, line, whole, length, gap, key)``.
+    """Every content whole and without each of its words, as hashed keys: ``(c1, c2, whole, length, gap, key)``.
 
     A key is the exclusive or of hashes of the words with their places, so that all of a line's keys come from running sums
     in its length. Two lines of equal length within one replaced word have equal keys with the same gap; for a word more or
     less, the shorter line is equal to a variant of the longer one, and gaps don't count.
     """
-    words = contents.select("c1", "c2", "doc", "line", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
-    words = words.withColumns({"here": F.xxhash64("at", "word"), "moved": F.xxhash64(F.col("at") - 1, F.col("word"))})
+    words = contents.select("c1", "c2", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
+    moved = F.xxhash64(F.col("at") - 1, F.col("word"))
+    words = words.select("c1", "c2", "n", "at", F.xxhash64("at", "word").alias("here"), moved.alias("moved"))
     content = W.partitionBy("c1", "c2")
     before = content.orderBy("at").rowsBetween(W.unboundedPreceding, -1)
-
-    def earlier(column: str) -> Column:
-        return F.coalesce(F.bit_xor(column).over(before), F.lit(0).cast("long"))
-
-    gone = words.withColumn("_before", earlier("here")).withColumn("_moved", earlier("moved"))
-    gone = gone.withColumn("_all_moved", F.bit_xor("moved").over(content)).withColumn("_all", F.bit_xor("here").over(content))
-    rest = F.col("_before").bitwiseXOR(F.col("_all_moved").bitwiseXOR(F.col("_moved")).bitwiseXOR(F.col("moved")))
+    zero = F.lit(0).cast("long")
+    rest = F.coalesce(F.bit_xor("here").over(before), zero).bitwiseXOR(F.bit_xor("moved").over(content))
+    rest = rest.bitwiseXOR(F.coalesce(F.bit_xor("moved").over(before), zero)).bitwiseXOR(F.col("moved"))
+    gone = words.select("c1", "c2", "n", "at", rest.alias("rest"), F.bit_xor("here").over(content).alias("all"))
     n, at = F.col("n"), F.col("at")
 
     def variant(whole: bool, length: Column, gap: Column, key: Column) -> Column:
         return F.struct(F.lit(whole).alias("whole"), length.alias("length"), gap.alias("gap"), key.alias("key"))
 
-    replaced, shorter = variant(False, n, at, rest), variant(False, n - 1, F.lit(-1), rest)
-    whole = variant(True, n, F.lit(-1), F.col("_all"))
+    replaced, shorter = variant(False, n, at, F.col("rest")), variant(False, n - 1, F.lit(-1), F.col("rest"))
+    whole = variant(True, n, F.lit(-1), F.col("all"))
     made = F.when(at == 0, F.array(replaced, shorter, whole)).otherwise(F.array(replaced, shorter))
-    return gone.select("c1", "c2", "doc", "line", F.inline(made))
+    return gone.select("c1", "c2", F.inline(made))
 
 
 def within_one_word(a: Column, b: Column) -> Column:
@@ -90,35 +99,37 @@ def within_one_word(a: Column, b: Column) -> Column:
 
 
 def line_contents(documents: DataFrame) -> DataFrame:
-    """Each distinct line: where it first occurs, how often, and whether an earlier line is within one word of it."""
+    """Each distinct line: where it first occurs, how often, and whether an earlier line is within one word of it.
+
+    Only lines that agree with another in the first or last half get to be compared, then only those that agree in seven of
+    eight parts; both keep every pair within one word. Those give their variants.
+    """
     words = F.split("norm", " ")
-    halves = F.when(F.size(words) >= MIN_WORDS, let(words, _halves)).alias("halves")
+    halves = F.when(F.size(words) >= MIN_WORDS, let(words, lambda w: _outlines(w, 2))).alias("halves")
     place = F.struct(F.col("doc_id").alias("doc"), F.col("text_key"), F.col("line_no").alias("line"))
     contents = cut(
         _lines(documents, *_content(), place.alias("place"), halves)
         .groupBy("c1", "c2")
         .agg(F.min("place").alias("place"), F.count("*").alias("times"), F.first("halves").alias("halves"))
     )
-    keys = contents.filter("halves is not null").select("c1", "c2", "place", F.explode("halves").alias("half"))
-    shared = keys.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
-    near = cut(keys.join(shared, "half", "left_semi").select("c1", "c2", "place").distinct())
-
-    # Only lines that share a half with another get their variants.
-    texts = _lines(documents, *_content()).join(small(near.select("c1", "c2")), ["c1", "c2"], "left_semi")
-    texts = cut(texts.groupBy("c1", "c2").agg(F.first("norm").alias("norm")).join(near, ["c1", "c2"]))
-    words = texts.select("c1", "c2", F.split("norm", " ").alias("words"))
-    variants = cut(_variants(texts.select("c1", "c2", F.col("place").alias("doc"), F.lit(0).alias("line"), F.split("norm", " ").alias("words"))))
+    near = cut(_sharing(contents.filter("halves is not null"), F.col("halves")))
+    texts = _lines(documents, *_content()).join(small(near), ["c1", "c2"], "left_semi")
+    texts = cut(texts.groupBy("c1", "c2").agg(F.first("norm").alias("norm")).select("c1", "c2", F.split("norm", " ").alias("words")))
+    texts = cut(texts.join(_sharing(texts, let(F.col("words"), lambda w: _outlines(w, 8))), ["c1", "c2"], "left_semi"))
+
+    variants = _variants(texts)
     same = ["length", "gap", "key"]
-    owner = F.struct(F.col("doc").alias("place"), F.col("c1").alias("p1"), F.col("c2").alias("p2"))
-    first = variants.groupBy(*same).agg(
-        F.min(F.when(F.col("whole"), owner)).alias("whole_first"), F.min(F.when(~F.col("whole"), owner)).alias("gap_first"), F.count("*").alias("n")
-    )
-    first = first.filter((F.col("n") > 1) & ((F.col("gap") >= 0) | F.col("whole_first").isNotNull()))
-    partner = F.when(F.col("gap") >= 0, F.col("gap_first")).when(F.col("whole"), F.col("gap_first")).otherwise(F.col("whole_first"))
-    pairs = variants.join(first, same).select("c1", "c2", "doc", partner.alias("earlier"))
-    pairs = pairs.filter(F.col("earlier.place") < F.col("doc")).select("c1", "c2", "earlier.p1", "earlier.p2").distinct()
-    partners = words.select(F.col("c1").alias("p1"), F.col("c2").alias("p2"), F.col("words").alias("others"))
-    checked = pairs.join(words, ["c1", "c2"]).join(partners, ["p1", "p2"]).filter(within_one_word(F.col("words"), F.col("others")))
+    shared = variants.groupBy(*same).agg(F.count("*").alias("n"), F.max("whole").alias("any_whole"))
+    shared = shared.filter((F.col("n") > 1) & ((F.col("gap") >= 0) | F.col("any_whole"))).select(*same)
+    places = texts.select("c1", "c2").join(contents.select("c1", "c2", "place"), ["c1", "c2"])
+    met = cut(variants.join(shared, same, "left_semi").join(places, ["c1", "c2"]))
+    owner = F.struct("place", F.col("c1").alias("p1"), F.col("c2").alias("p2"))
+    first = met.groupBy(*same).agg(F.min(F.when(F.col("whole"), owner)).alias("of_whole"), F.min(F.when(~F.col("whole"), owner)).alias("of_gaps"))
+    partner = F.when((F.col("gap") >= 0) | F.col("whole"), F.col("of_gaps")).otherwise(F.col("of_whole"))
+    pairs = met.join(first, same).select("c1", "c2", "place", partner.alias("earlier"))
+    pairs = pairs.filter(F.col("earlier.place") < F.col("place")).select("c1", "c2", "earlier.p1", "earlier.p2").distinct()
+    partners = texts.select(F.col("c1").alias("p1"), F.col("c2").alias("p2"), F.col("words").alias("others"))
+    checked = pairs.join(texts, ["c1", "c2"]).join(partners, ["p1", "p2"]).filter(within_one_word(F.col("words"), F.col("others")))
     dropped = checked.select("c1", "c2").distinct().withColumn("near", F.lit(True))
     return cut(contents.select("c1", "c2", "place", "times").join(dropped, ["c1", "c2"], "left").withColumn("near", F.coalesce("near", F.lit(False))))
 
@@ -139,7 +150,7 @@ def without_repeated_lines(documents: DataFrame) -> DataFrame:
     gone = cut(gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_set("line_no").alias("_gone")))
     split = F.split("text", "\n", -1)
     named = documents.withColumn("_text_key", text_key(F.col("text")))
-    joined = named.join(small(gone, 20_000), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+    joined = named.join(small(gone, "_gone"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
     kept = F.filter(split, lambda line, i: ~F.array_contains(F.col("_gone"), i))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     before = F.when(F.col("text").isNull(), 0).otherwise(F.size(split))

@@ -14,7 +14,7 @@ WITH numbered AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no
   FROM documents WHERE text IS NOT NULL
 ), lines AS (
-  SELECT doc_id, line_no, line, trim(regexp_replace({_LOWER.replace("text", "line")}, '[{_BLANKS}]+', ' ', 'g'), ' ') AS norm FROM numbered
+  SELECT doc_id, line_no, line, trim(regexp_replace(lower(line), '[{_BLANKS}]+', ' ', 'g'), ' ') AS norm FROM numbered
 ), contents AS (
   SELECT norm, min({{'doc': doc_id, 'line': line_no}}) AS place, string_split(norm, ' ') AS words FROM lines WHERE norm <> '' GROUP BY norm
 ), variants AS (

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 from stopline.llm.common import cut, partitions, small, text_key
 
 #: Words of a window, and of the grams of which a window's least hash is its minimiser.
-WINDOW, GRAM = 13, 4
+WINDOW, GRAM = 13, 3
 #: Bytes of packed windows that a bucket has on average, and what they are to the text.
-BUCKET_BYTES, OVERLAP = 24 << 20, 3
-_ROWS = 1000
+BUCKET_BYTES, OVERLAP = 12 << 20, 3
+#: Bytes of text that are cut into runs at once, and how hard they are compressed.
+_PART, _LEVEL = 3 << 20, 6
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -75,8 +77,10 @@ class Runs:
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Runs]]:
     for batch in batches:
-        for i in range(0, batch.num_rows, _ROWS):
-            part = batch.slice(i, _ROWS)
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)) // _PART
+        edges = np.flatnonzero(np.diff(sizes, prepend=-1)).tolist()
+        for a, b in zip(edges, [*edges[1:], batch.num_rows], strict=True):
+            part = batch.slice(a, b - a)
             yield part, Runs(part["text"].to_pylist())
 
 
@@ -97,7 +101,7 @@ def _packed(buckets: int, hot: np.ndarray):
     """Runs go to the bucket of their minimiser, those of a batch as one compressed string; hot minimisers are left out."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
+        squeeze = zstandard.ZstdCompressor(level=_LEVEL).compress
         for batch, runs in _parts(batches):
             if len(hot):
                 runs.keep(~np.isin(runs.minimiser, hot))
@@ -105,31 +109,36 @@ def _packed(buckets: int, hot: np.ndarray):
             if not n:
                 continue
             slices = runs.slices()
-            ids, keys = (batch[c].to_numpy(zero_copy_only=False)[runs.doc] for c in ("doc_id", "text_key"))
-            sizes = np.fromiter(map(len, slices), np.int64, n)
+            rest = runs.minimiser // np.uint64(buckets)
             bucket = (runs.minimiser % np.uint64(buckets)).astype(np.int64)
+            sizes = np.fromiter(map(len, slices), np.int64, n)
+            ids, keys = (batch[c].to_numpy(zero_copy_only=False) for c in ("doc_id", "text_key"))
             order = np.argsort(bucket, kind="stable")
             edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-            numbers = np.stack([runs.minimiser.view(np.int64), ids, keys, runs.start, sizes])
             rows = []
             for a, b in zip(edges, [*edges[1:], n], strict=True):
                 which = order[a:b]
-                head = np.int64(len(which)).tobytes() + numbers[:, which].tobytes()
-                rows.append((int(bucket[which[0]]), squeeze(head + b"".join([slices[i] for i in which.tolist()]))))
+                docs, doc = np.unique(runs.doc[which], return_inverse=True)
+                head = np.array([len(docs), len(which)], np.int64)
+                numbers = (doc, rest[which], runs.start[which], sizes[which])
+                parts = [head.tobytes(), ids[docs].tobytes(), keys[docs].tobytes(), *(x.astype(np.uint32).tobytes() for x in numbers)]
+                rows.append((int(bucket[which[0]]), squeeze(b"".join(parts + [slices[i] for i in which.tolist()]))))
             yield pa.RecordBatch.from_pydict({"bucket": pa.array([r[0] for r in rows], pa.int32()), "packed": pa.array([r[1] for r in rows], pa.binary())})
 
     return pack
 
 
-def _unpacked(packs: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    numbers, slices = [], []
+def _unpacked(packs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Of each run: what its minimiser has besides the bucket (32 bits of it), doc_id, text_key, start, words."""
+    columns, slices = [], []
     for raw in map(zstandard.ZstdDecompressor().decompress, packs):
-        n = int(np.frombuffer(raw, np.int64, 1)[0])
-        part = np.frombuffer(raw, np.int64, 5 * n, 8).reshape(5, n)
-        ends = 8 + 40 * n + np.cumsum(part[4])
-        numbers.append(part)
-        slices += [raw[b - s : b] for b, s in zip(ends.tolist(), part[4].tolist(), strict=True)]
-    return np.concatenate(numbers, axis=1), slices
+        docs, n = np.frombuffer(raw, np.int64, 2).tolist()
+        ids, keys = np.frombuffer(raw, np.int64, 2 * docs, 16).reshape(2, docs)
+        doc, rest, start, sizes = np.frombuffer(raw, np.uint32, 4 * n, 16 * (docs + 1)).reshape(4, n)
+        ends = 16 * (docs + 1 + n) + np.cumsum(sizes, dtype=np.int64)
+        columns.append((rest, ids[doc], keys[doc], start))
+        slices += [raw[b - s : b] for b, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
+    return (*(np.concatenate(c) for c in zip(*columns, strict=True)), slices)
 
 
 def repeated_in(packs: list[bytes]) -> list[tuple[int, int, int, int]]:
@@ -138,10 +147,10 @@ def repeated_in(packs: list[bytes]) -> list[tuple[int, int, int, int]]:
     Runs are sorted by minimiser. Where several documents share one, their windows are sorted by words and doc_id; the first
     of equal windows has the smallest doc_id.
     """
-    numbers, slices = _unpacked(packs)
-    minimisers, ids, keys, starts, _ = numbers
+    minimisers, ids, keys, starts, slices = _unpacked(packs)
     order = np.lexsort((ids, minimisers))
-    edges = np.flatnonzero(np.diff(minimisers[order], prepend=minimisers[order[0]] - 1))
+    ranked = minimisers[order]
+    edges = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
     found = []
     for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True):
         group = order[a:b]
@@ -237,12 +246,21 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     return spans
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as they travel to their spans."""
+    squeeze = zstandard.ZstdCompressor(level=_LEVEL).compress
+    for batch in batches:
+        packed = [squeeze((t or "").encode()) for t in batch["text"].to_pylist()]
+        yield pa.RecordBatch.from_pydict({c: batch[c] for c in ("doc_id", "_text_key")} | {"_packed": pa.array(packed, pa.binary())})
+
+
 def _removed(with_text: bool):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unsqueeze = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             n_words, n_removed, digests, texts = [], [], [], []
-            for text, spans in zip(batch["text"].to_pylist(), batch["_spans"].to_pylist(), strict=True):
-                words = (text or "").encode().split()
+            for packed, spans in zip(batch["_packed"].to_pylist(), batch["_spans"].to_pylist(), strict=True):
+                words = unsqueeze(packed).split()
                 n_words.append(len(words))
                 if spans:
                     edge = np.zeros(len(words) + 1, np.int64)
@@ -271,6 +289,7 @@ def without_repeated_substrings(documents: DataFrame, with_text: bool = True) ->
     gone = repeated_spans(documents).groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     gone = cut(gone.agg(F.collect_set(F.struct("first", "after")).alias("_spans")))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("_text_key"), "text")
-    marked = rows.join(small(gone, 20_000), (F.col("doc_id") == F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+    rows = rows.mapInArrow(_squeezed, "doc_id long, _text_key long, _packed binary")
+    marked = rows.join(small(gone, "_spans"), (F.col("doc_id") == F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if with_text else "")
-    return marked.select("doc_id", "text", "_spans").mapInArrow(_removed(with_text), schema)
+    return marked.select("doc_id", "_packed", "_spans").mapInArrow(_removed(with_text), schema)
