@@ -70,8 +70,7 @@ def csv_feed_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders packed into zip archives, expanded to lines, and the lines parsed as CSV."""
-    packed = _zip_orders(roles.table(spark, sf_dir, "orders"))
-    expanded = archives.unpack_lines(packed).filter("line_no > 0")
+    expanded = archives.archive_lines(spark, _zipped_orders(spark, sf_dir)).filter("line_no > 0")
     fields = F.from_csv("line", "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING")
     return expanded.select("member", fields.alias("row")).select("member", "row.*")
 
@@ -79,25 +78,33 @@ def archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def archive_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table read out of the same archives by column name; the last column is in none of them."""
-    packed = _zip_orders(roles.table(spark, sf_dir, "orders"))
-    rows = archives.unpack_table(packed, "trips", ["o_custkey", "o_orderkey", "trip_headsign"])
+    rows = archives.archived_table(spark, _zipped_orders(spark, sf_dir), "trips", ["o_custkey", "o_orderkey", "trip_headsign"])
     return rows.select("o_orderkey", "o_custkey", "trip_headsign")
 
 
-def _zip_orders(orders: DataFrame) -> DataFrame:
-    """``(path, content)``: each Arrow batch of orders as one zip archive with one CSV member."""
+def _zipped_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as zip archives with one CSV member, written by the tasks that read the orders, and their folder."""
+    root = run_folder(spark, "archives")
+
+    uri = root if "://" in root else f"file://{root.removeprefix('file:')}"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import csv
+        from pyarrow import csv, fs
 
+        store, folder = fs.FileSystem.from_uri(uri)
+        store.create_dir(folder)
         for rows in batches:
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive, archive.open("trips.txt", "w") as member:
                 csv.write_csv(rows, member)
-            name = f"orders-{rows['o_orderkey'][0]}.zip"
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([buffer.getvalue()])], names=["path", "content"])
-
-    return orders.select("o_orderkey", "o_custkey", "o_orderpriority").mapInArrow(pack, "path string, content binary")
+            path = f"{folder}/orders-{rows['o_orderkey'][0]}.zip"
+            with store.open_output_stream(path) as file:
+                file.write(buffer.getvalue())
+            yield pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+
+    orders = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    orders.mapInArrow(pack, "path string").write.format("noop").mode("overwrite").save()
+    return root
 
 
 @query

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from datetime import datetime
+from collections.abc import Iterator, Mapping
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +14,14 @@ from stopline.operators.counts import route_stats, table_counts, trips_per_route
 from stopline.operators.ranking import named_lists
 from stopline.period import Period
 from stopline.schemas import (
-    ARCHIVE_COLUMNS,
     DOCUMENT_SCHEMA,
     FEED_DATE,
+    LANDED_TABLES,
     LIST_SIZE,
     SUMMARY_COLUMNS,
     SUMMARY_TABLES,
 )
-from stopline.sinks.landing import land, read_landed
+from stopline.sinks.landing import land, present_days, read_landed
 from stopline.sinks.reports import report_lines, result_path, write_document, write_report
 from stopline.sources.archives import archive_path, archived_table
 from stopline.sources.documents import read_document
@@ -86,25 +86,29 @@ def _list_of(name: str):
 
 
 def land_feeds(spark: SparkSession, feed_root: str, lake: str, period: Period, landed_days: str = "keep") -> None:
-    """Land the summary tables of each day's CSV directory under ``lake``."""
-    for table in SUMMARY_TABLES:
-        rows = read_feed_period(spark, feed_root, period, table)
-        land(rows, f"{lake.rstrip('/')}/{table}", landed_days, day_by_day=True)
+    """Land all columns of the tables of each day's CSV directory under ``lake``; those a summary uses must be there."""
+    for table, path, days in _to_land(spark, lake, period, landed_days):
+        rows = read_feed_period(spark, feed_root, days, table, optional=table not in SUMMARY_TABLES)
+        if rows is not None:
+            land(rows, path, landed_days, day_by_day=True)
 
 
-def land_archives(
-    spark: SparkSession,
-    archive_root: str,
-    lake: str,
-    period: Period,
-    landed_days: str = "keep",
-    columns: Mapping[str, Sequence[str]] = ARCHIVE_COLUMNS,
-) -> None:
-    """Land tables of each day's zip archive under ``lake``. Only the archives of the period are opened."""
-    paths = [archive_path(archive_root, day) for day in period]
-    for table, wanted in columns.items():
-        rows = archived_table(spark, paths, table, wanted, spread=True)
-        land(rows, f"{lake.rstrip('/')}/{table}", landed_days, day_by_day=True)
+def land_archives(spark: SparkSession, archive_root: str, lake: str, period: Period, landed_days: str = "keep") -> None:
+    """The same from each day's zip archive. Only archives of days that are not landed yet are opened."""
+    for table, path, days in _to_land(spark, lake, period, landed_days):
+        paths = [archive_path(archive_root, day) for day in days]
+        rows = archived_table(spark, paths, table, optional=table not in SUMMARY_TABLES)
+        if rows.columns != [FEED_DATE]:  # no archive has the table
+            land(rows, path, landed_days)
+
+
+def _to_land(spark: SparkSession, lake: str, period: Period, landed_days: str) -> Iterator[tuple[str, str, list[date]]]:
+    """Each table with its path and the days to read: with ``keep`` those that are not there yet."""
+    for table in LANDED_TABLES:
+        path = f"{lake.rstrip('/')}/{table}"
+        there = present_days(spark, path) if landed_days == "keep" else set()
+        if days := [day for day in period if day not in there]:
+            yield table, path, days
 
 
 def landed_tables(spark: SparkSession, lake: str, period: Period) -> dict[str, DataFrame]:
@@ -117,9 +121,22 @@ def landed_tables(spark: SparkSession, lake: str, period: Period) -> dict[str, D
 
 
 def run_summary(
-    spark: SparkSession, lake: str, period: Period, output: str, made_at: datetime, k: int = LIST_SIZE
+    spark: SparkSession,
+    lake: str,
+    period: Period,
+    output: str,
+    made_at: datetime,
+    k: int = LIST_SIZE,
+    allow_gaps: bool = False,
 ) -> DataFrame:
-    """Summarise landed tables, write document and report, and return the saved document."""
+    """Summarise landed tables, write document and report, and return the saved document.
+
+    A day that a table lacks would only make its averages smaller, so it is an error unless gaps are allowed.
+    """
+    for table in SUMMARY_TABLES if not allow_gaps else ():
+        there = present_days(spark, f"{lake.rstrip('/')}/{table}")
+        if gaps := [day.isoformat() for day in period if day not in there]:
+            raise ValueError(f"{table} has no rows of {', '.join(gaps)}")
     path = result_path(output, made_at, "json")
     write_document(summary_document(landed_tables(spark, lake, period), period, k), path)
     document = read_document(spark, path)

@@ -17,15 +17,6 @@ SUMMARY_COLUMNS = {
 }
 SUMMARY_TABLES = tuple(SUMMARY_COLUMNS)
 
-# The columns landed from archives unless others are named: keys and what a summary uses.
-ARCHIVE_COLUMNS = {
-    "agency": ("agency_id", "agency_name"),
-    "routes": ("route_id", "agency_id"),
-    "stops": ("stop_id", "stop_name"),
-    "trips": ("trip_id", "route_id"),
-    "stop_times": ("trip_id", "stop_id", "stop_sequence"),
-}
-
 # Tables a daily feed must have, and tables it may have.
 FEED_MANIFEST = (
     ("agency", True),

@@ -62,6 +62,12 @@ def read_landed(
     return rows if period is None else rows.filter(period.has_day(rows[FEED_DATE]))
 
 
+def present_days(spark: SparkSession, path: str) -> set[date]:
+    """The days that have a directory under ``path``: a date for each calendar day."""
+    days = _present_days(spark, path)
+    return set() if days is None else {row["landed_day"] for row in days.collect()}
+
+
 def _present_days(spark: SparkSession, path: str) -> DataFrame | None:
     """The days under ``path`` from the names of its directories; no file is opened."""
     try:

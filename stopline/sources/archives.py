@@ -1,8 +1,9 @@
 """Daily feed archives: zip files with one CSV member per table.
 
-An archive of ordinary size is read by Spark's ``binaryFile`` source and unpacked in the task that read it. One above
-``SMALL_ARCHIVE`` is not loaded at all: a first step lists its members, and each member is then its own task that reads
-just its bytes from storage. Members are unpacked as a stream, so memory does not grow with their size.
+A task only unzips: members become lines, and lines become columns by Spark's own CSV rules, so an archive gives the same
+rows as its text in a directory. How archives are read depends on the store alone. Where the store can be opened from a
+task, a first step lists the members and each member is a task that streams just its bytes; from any other store Spark's
+``binaryFile`` loads archives whole (up to its own limit of 2 GiB each).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from itertools import islice
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,10 +27,13 @@ from stopline.schemas import FEED_DATE
 # Fixed value: how the archive of a day is named.
 ARCHIVE_FILE = "sweden-%Y%m%d.zip"
 
-SMALL_ARCHIVE = 64 * 1024 * 1024
+# Stores that a task can open by itself; the second name is the one it uses.
+STREAMED = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
+
+# Different headers that the archives of one table may have.
+MAX_HEADERS = 1000
 
 _LINES_AT_ONCE = 50_000
-_BYTES_AT_ONCE = 4 * 1024 * 1024
 
 _LINES = T.StructType(
     [
@@ -40,6 +44,14 @@ _LINES = T.StructType(
     ]
 )
 
+_ROWS = T.StructType(
+    [
+        T.StructField(FEED_DATE, T.DateType()),
+        T.StructField("header", T.StringType()),
+        T.StructField("line", T.StringType()),
+    ]
+)
+
 # From the path of an archive, the name of a member and its contents to columns.
 Unpack = Callable[[str, str, zipfile.ZipExtFile], Iterator[dict[str, pa.Array]]]
 Batches = Iterator[pa.RecordBatch]
@@ -51,72 +63,80 @@ def archive_path(root: str, day: date, archive_file: str = ARCHIVE_FILE) -> str:
 
 def archive_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(archive, member, line_no, line)`` of all members of the zip files at or under ``path``; lines count from 0."""
-    small, large = _unpack_files(spark, path, _read_lines, _LINES, None)
-    return small.unionByName(large)
+    return _unpack_files(spark, path, _read_lines, _LINES, None, False)
 
 
 def archived_table(
-    spark: SparkSession, path: str | list[str], table: str, columns: Sequence[str], spread: bool = False
+    spark: SparkSession, path: str | list[str], table: str, columns: Sequence[str] | None = None, optional: bool = False
 ) -> DataFrame:
-    """The given columns of one table from the zip files at or under ``path``, as strings, with ``feed_date``.
+    """The given columns of one table (else all) from the zip files at or under ``path``, as strings, with ``feed_date``.
 
     Columns are found by each member's own header; one that a day lacks is NULL there. The day comes from the eight digits
-    that end the archive's name; it is NULL where there are none.
-
-    With ``spread`` the rows of large archives are dealt out evenly, so that what comes next is not done by the one task
-    that can unpack a member. (By day would not do: what one task shuffles to one key cannot be split.) It pays for costly
-    steps such as writing, not for counting.
+    that end the archive's name; it is NULL where there are none. An archive without the table is an error unless it is
+    optional. Headers are looked at first, in a step that reads no further.
     """
-    small, large = _unpack_files(spark, path, _TableReader(columns), _table_schema(columns), f"{table}.txt")
-    return small.unionByName(large.hint("rebalance") if spread else large)
-
-
-def unpack_lines(archives: DataFrame) -> DataFrame:
-    """Like :func:`archive_lines`, for archives that are already rows ``(path, content)``."""
-    return archives.select("path", "content").mapInArrow(_from_content(_read_lines, None), _LINES)
-
-
-def unpack_table(archives: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Like :func:`archived_table`, for archives that are already rows ``(path, content)``."""
-    unpack = _from_content(_TableReader(columns), f"{table}.txt")
-    return archives.select("path", "content").mapInArrow(unpack, _table_schema(columns))
-
-
-def _table_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in columns]).add(FEED_DATE, T.DateType())
-
-
-def _unpack_files(
-    spark: SparkSession, path: str | list[str], unpack: Unpack, schema: T.StructType, only: str | None
-) -> tuple[DataFrame, DataFrame]:
-    """The rows of small and of large archives."""
-    files = spark.read.format("binaryFile").options(pathGlobFilter="*.zip", recursiveFileLookup=True).load(path)
-    small = files.filter(F.col("length") <= SMALL_ARCHIVE).select("path", "content")
+    member = f"{table}.txt"
+    found = _unpack_files(spark, path, _read_header, "header string", member, optional).distinct().limit(MAX_HEADERS + 1)
+    headers = sorted(row["header"] for row in found.collect())
+    if len(headers) > MAX_HEADERS:
+        raise ValueError(f"{table}: more than {MAX_HEADERS} different headers")
+    names = {header: next(csv.reader([header])) for header in headers}
+    wanted = list(dict.fromkeys(n for header in headers for n in names[header])) if columns is None else list(columns)
+    if not wanted:
+        if columns is None:
+            return spark.createDataFrame([], T.StructType([_ROWS[FEED_DATE]]))
+        raise ValueError("name at least one column")
+
+    def row(header: str) -> Column:
+        fields = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names[header]))])
+        parsed = F.from_csv("line", fields.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {"escape": '"'})
+        place = {name: i for i, name in reversed(list(enumerate(names[header])))}
+        none = F.lit(None).cast("string")
+        return F.struct(*((parsed[f"_{place[n]}"] if n in place else none).alias(n) for n in wanted))
+
+    rows = _unpack_files(spark, path, _read_rows, _ROWS, member, optional)
+    if not headers:
+        return rows.select(*(F.lit(None).cast("string").alias(n) for n in wanted), FEED_DATE)
+    by_header = F.lit(None)
+    for header in reversed(headers):
+        by_header = F.when(F.col("header") == header, row(header)).otherwise(by_header)
+    return rows.select(FEED_DATE, by_header.alias("row")).select("row.*", FEED_DATE)
+
+
+def _unpack_files(spark: SparkSession, path: str | list[str], unpack: Unpack, schema, only: str | None, optional: bool) -> DataFrame:
+    files = spark.read.format("binaryFile").options(pathGlobFilter="*.[zZ][iI][pP]", recursiveFileLookup=True).load(path)
+    if not all(_scheme(spark, p) in STREAMED for p in ([path] if isinstance(path, str) else path)):
+        return files.select("path", "content").mapInArrow(_from_content(unpack, only, optional), schema)
     # Few short rows with much work behind each: a fixed number of partitions keeps adaptive execution from putting them
     # all into one task.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    large = files.filter(F.col("length") > SMALL_ARCHIVE).select("path").repartition(tasks)
-    members = large.mapInArrow(_list_members(only), "path string, member string").repartition(tasks)
-    return small.mapInArrow(_from_content(unpack, only), schema), members.mapInArrow(_from_storage(unpack), schema)
+    members = files.select("path").repartition(tasks).mapInArrow(_list_members(only, optional), "path string, member string")
+    return members.repartition(tasks).mapInArrow(_from_storage(unpack), schema)
 
 
-def _from_content(unpack: Unpack, only: str | None):
+def _scheme(spark: SparkSession, path: str) -> str:
+    """The store of a path; one without scheme is on the session's default store."""
+    named = re.match(r"([a-zA-Z][a-zA-Z0-9+.-]*):", path)
+    return (named[1] if named else spark.conf.get("spark.hadoop.fs.defaultFS", "file:///").partition(":")[0]).lower()
+
+
+def _from_content(unpack: Unpack, only: str | None, optional: bool):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
-                    for member in _members(archive, only):
+                    for member in _members(archive, path.as_py(), only, optional):
                         yield from _unpack_member(archive, path.as_py(), member, unpack)
 
     return run
 
 
-def _list_members(only: str | None):
+def _list_members(only: str | None, optional: bool):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for path in batch["path"].to_pylist():
                 with _open_storage(path) as file, zipfile.ZipFile(file) as archive:
-                    members = _members(archive, only)
+                    members = _members(archive, path, only, optional)
                 yield _batch({"path": pa.repeat(path, len(members)), "member": pa.array(members, pa.string())})
 
     return run
@@ -138,13 +158,17 @@ def _open_storage(path: str):
 
     if path.startswith("file:"):
         return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
-    store, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    scheme, rest = path.split(":", 1)
+    store, inner = fs.FileSystem.from_uri(quote(f"{STREAMED[scheme.lower()]}:{rest}", safe=":/@"))
     return store.open_input_file(inner)
 
 
-def _members(archive: zipfile.ZipFile, only: str | None) -> list[str]:
-    names = (entry.filename for entry in archive.infolist() if not entry.is_dir())
-    return [name for name in names if only is None or name.rsplit("/", 1)[-1] == only]
+def _members(archive: zipfile.ZipFile, path: str, only: str | None, optional: bool) -> list[str]:
+    names = [entry.filename for entry in archive.infolist() if not entry.is_dir()]
+    members = [name for name in names if only is None or name.rsplit("/", 1)[-1] == only]
+    if not members and only is not None and not optional:
+        raise ValueError(f"{path} has no {only}")
+    return members
 
 
 def _unpack_member(archive: zipfile.ZipFile, path: str, member: str, unpack: Unpack) -> Batches:
@@ -157,7 +181,7 @@ def _batch(columns: dict[str, pa.Array]) -> pa.RecordBatch:
 
 
 def _archive_day(path: str) -> date | None:
-    digits = re.search(r"(\d{8})\.zip$", path)
+    digits = re.search(r"(\d{8})\.zip$", path, re.IGNORECASE)
     try:
         return digits and datetime.strptime(digits[1], "%Y%m%d").date()
     except ValueError:
@@ -177,64 +201,23 @@ def _read_lines(path: str, member: str, stream: zipfile.ZipExtFile) -> Iterator[
         start += len(lines)
 
 
-class _TableReader:
-    """Reads the wanted columns of a CSV member by name, in pieces.
+def _text(stream: zipfile.ZipExtFile) -> Iterator[str]:
+    """Lines without their ends, and without those of blanks only, which Spark's CSV source passes over too."""
+    lines = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace")
+    return (line.removesuffix("\n") for line in lines if line.strip(_TRIMMED))
 
-    Rows with too few or too many fields are kept, as Spark's CSV source keeps them: missing fields are NULL, surplus ones
-    are dropped. They come after the regular rows of the member.
-    """
 
-    def __init__(self, columns: Sequence[str]) -> None:
-        if not columns:
-            raise ValueError("name at least one column")
-        self.columns = list(columns)
-
-    def __call__(self, path: str, member: str, stream: zipfile.ZipExtFile) -> Iterator[dict[str, pa.Array]]:
-        # The day is the same for a whole member: cheaper to repeat here than to take it from the path of each row.
-        day = pa.scalar(_archive_day(path), pa.date32())
-        for columns in self._pieces(stream):
-            yield {**columns, FEED_DATE: pa.repeat(day, len(columns[self.columns[0]]))}
-
-    def _pieces(self, stream: zipfile.ZipExtFile) -> Iterator[dict[str, pa.Array]]:
-        from pyarrow import csv as arrow_csv
-
-        body = io.BufferedReader(stream, _BYTES_AT_ONCE)
-        header = next(csv.reader([body.readline().decode("utf-8-sig", "replace")]), [])
-        if not body.peek(1):
-            return
-        odd: list[str] = []
-
-        def set_aside(row: arrow_csv.InvalidRow) -> str:
-            odd.append(row.text)
-            return "skip"
-
-        pieces = arrow_csv.open_csv(
-            body,
-            arrow_csv.ReadOptions(use_threads=False, block_size=_BYTES_AT_ONCE, column_names=header),
-            arrow_csv.ParseOptions(newlines_in_values=True, invalid_row_handler=set_aside),
-            arrow_csv.ConvertOptions(
-                column_types=dict.fromkeys(self.columns, pa.binary()),
-                include_columns=self.columns,
-                include_missing_columns=True,
-                null_values=[""],
-                strings_can_be_null=True,
-            ),
-        )
-        for piece in pieces:
-            yield {name: _as_text(piece[name]) for name in self.columns}
-            if odd:
-                yield self._odd_rows(header, odd)
-                odd.clear()
-        if odd:
-            yield self._odd_rows(header, odd)
-
-    def _odd_rows(self, header: Sequence[str], texts: Sequence[str]) -> dict[str, pa.Array]:
-        rows = [dict(zip(header, next(csv.reader(io.StringIO(text, newline=""))), strict=False)) for text in texts]
-        return {name: pa.array([row.get(name) or None for row in rows], pa.string()) for name in self.columns}
-
-
-def _as_text(column: pa.Array) -> pa.Array:
-    try:
-        return column.cast(pa.string())
-    except pa.ArrowInvalid:  # bytes that are no UTF-8
-        return pa.array([v if v is None else v.decode("utf-8", "replace") for v in column.to_pylist()], pa.string())
+_TRIMMED = "".join(map(chr, range(33)))
+
+
+def _read_header(path: str, member: str, stream: zipfile.ZipExtFile) -> Iterator[dict[str, pa.Array]]:
+    for header in islice(_text(stream), 1):
+        yield {"header": pa.array([header], pa.string())}
+
+
+def _read_rows(path: str, member: str, stream: zipfile.ZipExtFile) -> Iterator[dict[str, pa.Array]]:
+    # The day and the header are the same for a whole member: cheaper to repeat than to take from the path of each row.
+    day, text = pa.scalar(_archive_day(path), pa.date32()), _text(stream)
+    header = next(text, None)
+    while lines := list(islice(text, _LINES_AT_ONCE)):
+        yield {FEED_DATE: pa.repeat(day, len(lines)), "header": pa.repeat(header, len(lines)), "line": pa.array(lines, pa.string())}

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from datetime import date
 from multiprocessing.pool import ThreadPool
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from stopline.operators.snapshots import tag_snapshot, union_days
-from stopline.period import Period
 
 # How the directory of a day and the file of a table are named.
 DAY_DIRECTORY = "sweden-%Y%m%d"
@@ -27,15 +28,28 @@ def table_path(
     return f"{root.rstrip('/')}/{day.strftime(day_directory)}/{table_file.format(table=table)}"
 
 
-def read_feed_period(spark: SparkSession, root: str, period: Period, table: str, **names: str) -> DataFrame:
+def read_feed_period(
+    spark: SparkSession, root: str, period: Iterable[date], table: str, optional: bool = False, **names: str
+) -> DataFrame | None:
     """All days of one feed table, matched by column name, with ``feed_date`` added.
 
     Each day is a scan of its own. A scan over several files would map columns by position, under whichever header it saw
     first, and would have to work out the day of each row from its path, which takes as long as parsing the row. Columns a
-    day lacks are NULL there. A day without the file is an error.
+    day lacks are NULL there. A day without the file is an error; of an optional table such days have no rows, and the
+    result is None if there is none at all.
     """
+
+    def read(day: date) -> DataFrame | None:
+        try:
+            return read_feed_day(spark, root, day, table, **names)
+        except AnalysisException as error:
+            if optional and error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     with ThreadPool(_HEADERS_AT_ONCE) as pool:  # Spark looks at a file's header as soon as the scan is defined
-        return union_days(pool.map(lambda day: read_feed_day(spark, root, day, table, **names), period))
+        days = [rows for rows in pool.map(read, period) if rows is not None]
+    return union_days(days) if days else None
 
 
 def read_feed_day(spark: SparkSession, root: str, day: date, table: str, **names: str) -> DataFrame:

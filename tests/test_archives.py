@@ -22,8 +22,8 @@ def root(tmp_path_factory):
 @pytest.fixture(params=["content", "storage"])
 def way(request, monkeypatch):
     """Both ways of reading: archives loaded whole, and members read from storage."""
-    if request.param == "storage":
-        monkeypatch.setattr(archives, "SMALL_ARCHIVE", 0)
+    if request.param == "content":
+        monkeypatch.setattr(archives, "STREAMED", {})
 
 
 def test_lines(spark, root, way):
@@ -59,8 +59,7 @@ def test_pieces_number_lines_without_gaps(spark, tmp_path, monkeypatch, way):
     assert table.select("stop_id").distinct().count() == n - 1
 
 
-def test_members_of_a_large_archive_are_spread_over_tasks(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(archives, "SMALL_ARCHIVE", 0)
+def test_members_of_an_archive_are_spread_over_tasks(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "sweden-20251001.zip", "w") as archive:
         for i in range(16):
             archive.writestr(f"{i}.txt", "line\n")
@@ -95,11 +94,42 @@ def test_as_the_csv_source_reads_it(spark, tmp_path):
     got = archives.archived_table(spark, str(tmp_path), "stops", columns).select(columns)
     want = read_feed_period(spark, str(tmp_path), Period.parse("2025-10-01", "2025-10-01"), "stops").select(columns)
     assert got.count() == 300_000
-    assert got.exceptAll(want).count() == 0
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a,b\n1,2\n   \n3,4\n",
+        'a,b\n1,"two\nlines"\n3,4\n',
+        'a,b\n"1,2\n' + "".join(f"{i},x\n" for i in range(1000)),
+        'a,b\n1,"2\n' + "".join(f"{i},x{'y' * 20}\n" for i in range(300_000)),
+        'b,a\r\n"",\r\n"q""q", x \r\n1,2,3\r\n1',
+    ],
+    ids=["blanks", "quoted line feed", "unclosed quote", "unclosed quote, long", "empty, spaces, ragged"],
+)
+def test_odd_text_is_read_as_from_a_directory(spark, tmp_path, way, text):
+    with zipfile.ZipFile(tmp_path / "sweden-20251001.ZIP", "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("stops.txt", text)
+    (tmp_path / "sweden-20251001").mkdir()
+    (tmp_path / "sweden-20251001/stops.txt").write_bytes(text.encode())
+    got = archives.archived_table(spark, str(tmp_path), "stops")
+    want = read_feed_period(spark, str(tmp_path), Period.parse("2025-10-01", "2025-10-01"), "stops")
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_an_archive_without_the_table_is_an_error(spark, tmp_path, way):
+    for day, member in ((1, "stops.txt"), (2, "other.txt")):
+        with zipfile.ZipFile(tmp_path / f"sweden-2025100{day}.zip", "w") as archive:
+            archive.writestr(member, "a\n1\n")
+    with pytest.raises(Exception, match="has no stops.txt"):
+        archives.archived_table(spark, str(tmp_path), "stops").count()
+    assert archives.archived_table(spark, str(tmp_path), "stops", optional=True).count() == 1
+    assert archives.archived_table(spark, str(tmp_path), "shapes", ["x"], optional=True).collect() == []
 
 
-def test_a_large_archive_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(archives, "SMALL_ARCHIVE", 100_000)
+def test_an_archive_is_written_by_several_tasks(spark, tmp_path):
     for day, n in ((1, 200_000), (2, 100)):
         with zipfile.ZipFile(tmp_path / f"sweden-2025100{day}.zip", "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr("stop_times.txt", "stop_id\n" + "".join(f"{i * 7919 % 1000003}\n" for i in range(n)))
@@ -107,7 +137,7 @@ def test_a_large_archive_is_written_by_several_tasks(spark, tmp_path, monkeypatc
     for size in sizes:
         spark.conf.set(size, "200k")
     try:
-        rows = archives.archived_table(spark, str(tmp_path), "stop_times", ["stop_id"], spread=True)
+        rows = archives.archived_table(spark, str(tmp_path), "stop_times", ["stop_id"]).hint("rebalance")
         land(rows, str(tmp_path / "landed"), day_by_day=True)
     finally:
         for size in sizes:
@@ -115,4 +145,4 @@ def test_a_large_archive_is_written_by_several_tasks(spark, tmp_path, monkeypatc
     landed = read_landed(spark, str(tmp_path / "landed"))
     files = landed.groupBy("feed_date").agg(F.count_distinct("_metadata.file_path").alias("f"), F.count("*").alias("n"))
     assert {row.feed_date.day: row.n for row in files.collect()} == {1: 200_000, 2: 100}
-    assert {row.feed_date.day: row.f > 1 for row in files.collect()} == {1: True, 2: False}
+    assert {row.feed_date.day: row.f > 1 for row in files.collect()}[1]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+import zipfile
 from datetime import datetime
 from pathlib import Path
 
@@ -10,8 +12,9 @@ import minifeed
 import pytest
 
 from stopline.operators import counts, quality, ranking
+from stopline.operators.snapshots import union_days
 from stopline.period import Period
-from stopline.plans.summary import land_archives, land_feeds, landed_tables, run_summary, summary_document
+from stopline.plans.summary import _to_land, land_archives, land_feeds, landed_tables, run_summary, summary_document
 from stopline.schemas import SUMMARY_TABLES
 from stopline.sinks import reports
 from stopline.sinks.landing import land, read_landed
@@ -168,6 +171,45 @@ def test_archives_give_the_same_summary(spark, tmp_path):
     assert tuple(row.route_stats) == (4, 1.5, 3)
 
 
+def test_all_tables_are_landed_and_landed_days_are_not_read_again(spark, tmp_path):
+    roots = {land_feeds: minifeed.write_directories(tmp_path / "feed"), land_archives: minifeed.write_archives(tmp_path / "zips")}
+    calendar = "service_id,monday\ns1,1\n"
+    (tmp_path / "feed/sweden-20251002/calendar.txt").write_text(calendar)
+    with zipfile.ZipFile(tmp_path / "zips/sweden-20251002.zip", "a") as archive:
+        archive.writestr("calendar.txt", calendar)
+    landed = []
+    for way, root in roots.items():
+        lake = tmp_path / way.__name__
+        way(spark, root, str(lake), minifeed.PERIOD)
+        landed.append({d.name: read_landed(spark, str(d)) for d in sorted(lake.iterdir())})
+    assert set(landed[0]) == set(landed[1]) == {*SUMMARY_TABLES, "calendar"}
+    for name, rows in landed[0].items():
+        other = landed[1][name].select(*rows.columns)
+        assert set(landed[1][name].columns) == set(rows.columns) and rows.count() == other.count()
+        assert rows.exceptAll(other).count() == other.exceptAll(rows).count() == 0
+    for file in (tmp_path / "zips").iterdir():
+        file.write_text("no archive any more")
+    needed = minifeed.PERIOD
+    before = {t: read_landed(spark, str(tmp_path / "land_archives" / t)).count() for t in SUMMARY_TABLES}
+    for table, path, days in _to_land(spark, str(tmp_path / "land_archives"), needed, "keep"):
+        assert table not in before, (path, days)
+
+
+def test_a_gap_is_an_error(spark, feed_root, tmp_path):
+    lake, output = str(tmp_path / "lake"), str(tmp_path / "out")
+    land_feeds(spark, feed_root, lake, minifeed.PERIOD)
+    longer = Period.parse("2025-10-01", "2025-10-03")
+    with pytest.raises(ValueError, match="2025-10-03"):
+        run_summary(spark, lake, longer, output, MADE_AT)
+    assert run_summary(spark, lake, longer, output, MADE_AT, allow_gaps=True).count() == 1
+
+
+def test_years_of_days_are_put_together_quickly(spark):
+    start = time.perf_counter()
+    both = union_days(spark.sql(f"SELECT {i} AS {'a' if i % 2 else 'b'}") for i in range(730))
+    assert set(both.columns) == {"a", "b"} and time.perf_counter() - start < 30
+
+
 def test_summary_of_an_empty_day(spark, feed_root, tmp_path):
     lake = str(tmp_path / "lake")
     land_feeds(spark, feed_root, lake, minifeed.PERIOD)
