@@ -5,13 +5,16 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stopline.period import Period
 from stopline.schemas import FEED_DATE
 
+# Where a table keeps the days that are landed; readers of the table pass over names with an underscore.
+_MARKS, _MARK = "_landed_days", "landed_day STRING"
+
 
 def dataset_path(base: str, month: date, part: str = "gtfs") -> str:
     """``{base}/2025-10/gtfs``: where the landed tables, analytics or curated data of a month live."""
@@ -22,31 +25,35 @@ def land(rows: DataFrame, path: str, landed_days: str = "keep", day_by_day: bool
     """Write a table with a ``feed_date`` column under ``path``.
 
     ``landed_days`` says what happens to days that are already there: ``keep`` leaves them and writes the others,
-    ``replace`` overwrites just those days, ``fail`` refuses to write to a path in use.
+    ``replace`` overwrites just those days, ``fail`` refuses to write to a path in use. A day is there once it is marked,
+    which is done after its commit: what a run left that died on the way is written anew. A ``replace`` that dies has to be
+    run again, since the marks of its days stay.
 
     Rows in any order are shuffled by day. The rebalance hint gives each day few files of even size and lets adaptive
     execution split a day that is much larger than the others over several tasks. Rows that come from files of one day
     each (``day_by_day``) are written where they are read: a task has one day, or a few small ones.
     """
+    spark, day = rows.sparkSession, F.coalesce(F.col(FEED_DATE).cast("string"), F.lit(""))
     if landed_days == "keep":
-        present = _present_days(rows.sparkSession, path)
-        if present is not None:
+        marks = _marks(spark, path)
+        if marks is not None:
             # One row per calendar day, so small whatever the size of the table; its files say otherwise to the planner.
-            landed = F.broadcast(present)
-            rows = rows.join(landed, rows[FEED_DATE].eqNullSafe(landed["landed_day"]), "left_anti")
+            rows = rows.join(F.broadcast(marks), day == F.col("landed_day"), "left_anti")
+    written = Observation()
+    rows = rows.observe(written, F.collect_set(day).alias("days"))
     if not day_by_day:
         rows = rows.hint("rebalance", FEED_DATE)
     writer = rows.write.partitionBy(FEED_DATE)
     match landed_days:
-        case "keep":
-            writer = writer.mode("append")
-        case "replace":
+        case "keep" | "replace":
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         case "fail":
             writer = writer.mode("errorifexists")
         case _:
             raise ValueError(f"landed_days: {landed_days!r}")
     writer.parquet(path)
+    if days := written.get["days"]:
+        spark.createDataFrame([(d,) for d in sorted(days)], _MARK).coalesce(1).write.mode("append").parquet(f"{path}/{_MARKS}")
 
 
 def read_landed(
@@ -63,19 +70,16 @@ def read_landed(
 
 
 def present_days(spark: SparkSession, path: str) -> set[date]:
-    """The days that have a directory under ``path``: a date for each calendar day."""
-    days = _present_days(spark, path)
-    return set() if days is None else {row["landed_day"] for row in days.collect()}
+    """The days whose landing under ``path`` was finished: a date for each calendar day."""
+    marks = _marks(spark, path)
+    return set() if marks is None else {date.fromisoformat(row["landed_day"]) for row in marks.collect() if row["landed_day"]}
 
 
-def _present_days(spark: SparkSession, path: str) -> DataFrame | None:
-    """The days under ``path`` from the names of its directories; no file is opened."""
+def _marks(spark: SparkSession, path: str) -> DataFrame | None:
+    """The days marked as landed under ``path``, as text; empty text for rows without a day."""
     try:
-        files = spark.read.format("binaryFile").load(path)
+        return spark.read.schema(_MARK).parquet(f"{path}/{_MARKS}").distinct()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    if FEED_DATE not in files.columns:
-        return None
-    return files.select(F.col(FEED_DATE).alias("landed_day")).distinct()

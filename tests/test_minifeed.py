@@ -17,7 +17,7 @@ from stopline.period import Period
 from stopline.plans.summary import _to_land, land_archives, land_feeds, landed_tables, run_summary, summary_document
 from stopline.schemas import SUMMARY_TABLES
 from stopline.sinks import reports
-from stopline.sinks.landing import land, read_landed
+from stopline.sinks.landing import land, present_days, read_landed
 from stopline.sources import documents
 from stopline.sources.feed_csv import read_feed_day, read_feed_period
 
@@ -238,3 +238,16 @@ def test_landing_replaces_or_refuses(spark, tables, tmp_path):
     }
     with pytest.raises(ValueError):
         land(trips, path, "other")
+
+
+def test_a_day_without_its_mark_is_written_again(spark, tables, tmp_path):
+    path = str(tmp_path / "trips")
+    trips = tables["trips"]
+    first = trips.filter("feed_date = '2025-10-01'")
+    first.limit(1).write.partitionBy("feed_date").parquet(path)  # what a run left that died before it marked the day
+    assert present_days(spark, path) == set()
+    land(first, path)
+    assert present_days(spark, path) == {minifeed.PERIOD.start}
+    land(trips.unionByName(first), path)  # the first day is kept, the second is new
+    got = rows(read_landed(spark, path).groupBy("feed_date").count())
+    assert {(str(d), n) for d, n in got} == {("2025-10-01", 3), ("2025-10-02", 3)}
