@@ -52,10 +52,10 @@ def _outlines(words: Column, segments: int) -> Column:
 
 
 def _sharing(contents: DataFrame, outlines: Column) -> DataFrame:
-    """The contents ``(c1, c2)`` that have an outline in common with another."""
-    keys = contents.select("c1", "c2", F.explode(outlines).alias("outline"))
+    """The hashes ``c1`` of contents that have an outline in common with another: a first sieve, so one hash is enough."""
+    keys = contents.select("c1", F.explode(outlines).alias("outline"))
     shared = keys.groupBy("outline").agg(F.count("*").alias("n")).filter("n > 1").select("outline")
-    return keys.join(shared, "outline", "left_semi").select("c1", "c2").distinct()
+    return keys.join(shared, "outline", "left_semi").select("c1").distinct()
 
 
 def _variants(contents: DataFrame) -> DataFrame:
@@ -65,7 +65,8 @@ def _variants(contents: DataFrame) -> DataFrame:
     in its length. Two lines of equal length within one replaced word have equal keys with the same gap; for a word more or
     less, the shorter line is equal to a variant of the longer one, and gaps don't count.
     """
-    words = contents.select("c1", "c2", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
+    whole = contents.repartition("c1", "c2")  # lines travel, not their words with two hashes each: the windows need no more
+    words = whole.select("c1", "c2", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
     moved = F.xxhash64(F.col("at") - 1, F.col("word"))
     words = words.select("c1", "c2", "n", "at", F.xxhash64("at", "word").alias("here"), moved.alias("moved"))
     content = W.partitionBy("c1", "c2")
@@ -113,15 +114,16 @@ def line_contents(documents: DataFrame) -> DataFrame:
         .agg(F.min("place").alias("place"), F.count("*").alias("times"), F.first("halves").alias("halves"))
     )
     near = cut(_sharing(contents.filter("halves is not null"), F.col("halves")))
-    texts = _lines(documents, *_content()).join(small(near), ["c1", "c2"], "left_semi")
-    texts = cut(texts.groupBy("c1", "c2").agg(F.first("norm").alias("norm")).select("c1", "c2", F.split("norm", " ").alias("words")))
-    texts = cut(texts.join(_sharing(texts, let(F.col("words"), lambda w: _outlines(w, 8))), ["c1", "c2"], "left_semi"))
+    texts = _lines(documents, *_content(), place.alias("place")).join(small(near), "c1", "left_semi")
+    texts = texts.groupBy("c1", "c2").agg(F.first("norm").alias("norm"), F.min("place").alias("place"))
+    texts = cut(texts.select("c1", "c2", "place", F.split("norm", " ").alias("words")))
+    texts = cut(texts.join(_sharing(texts, let(F.col("words"), lambda w: _outlines(w, 8))), "c1", "left_semi"))
 
     variants = _variants(texts)
     same = ["length", "gap", "key"]
     shared = variants.groupBy(*same).agg(F.count("*").alias("n"), F.max("whole").alias("any_whole"))
     shared = shared.filter((F.col("n") > 1) & ((F.col("gap") >= 0) | F.col("any_whole"))).select(*same)
-    places = texts.select("c1", "c2").join(contents.select("c1", "c2", "place"), ["c1", "c2"])
+    places = texts.select("c1", "c2", "place")
     met = cut(variants.join(shared, same, "left_semi").join(places, ["c1", "c2"]))
     owner = F.struct("place", F.col("c1").alias("p1"), F.col("c2").alias("p2"))
     first = met.groupBy(*same).agg(F.min(F.when(F.col("whole"), owner)).alias("of_whole"), F.min(F.when(~F.col("whole"), owner)).alias("of_gaps"))
@@ -129,7 +131,7 @@ def line_contents(documents: DataFrame) -> DataFrame:
     pairs = met.join(first, same).select("c1", "c2", "place", partner.alias("earlier"))
     pairs = pairs.filter(F.col("earlier.place") < F.col("place")).select("c1", "c2", "earlier.p1", "earlier.p2").distinct()
     partners = texts.select(F.col("c1").alias("p1"), F.col("c2").alias("p2"), F.col("words").alias("others"))
-    checked = pairs.join(texts, ["c1", "c2"]).join(partners, ["p1", "p2"]).filter(within_one_word(F.col("words"), F.col("others")))
+    checked = pairs.join(texts.select("c1", "c2", "words"), ["c1", "c2"]).join(partners, ["p1", "p2"]).filter(within_one_word(F.col("words"), F.col("others")))
     dropped = checked.select("c1", "c2").distinct().withColumn("near", F.lit(True))
     return cut(contents.select("c1", "c2", "place", "times").join(dropped, ["c1", "c2"], "left").withColumn("near", F.coalesce("near", F.lit(False))))
 
@@ -150,7 +152,7 @@ def without_repeated_lines(documents: DataFrame) -> DataFrame:
     gone = cut(gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_set("line_no").alias("_gone")))
     split = F.split("text", "\n", -1)
     named = documents.withColumn("_text_key", text_key(F.col("text")))
-    joined = named.join(small(gone, "_gone"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+    joined = named.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
     kept = F.filter(split, lambda line, i: ~F.array_contains(F.col("_gone"), i))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     before = F.when(F.col("text").isNull(), 0).otherwise(F.size(split))
