@@ -5,17 +5,18 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable, Iterator
-from datetime import datetime
+from datetime import date, datetime
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopline import roles
 from stopline.functions import dates, paths, text
 from stopline.operators import counts, dimensions, lines, quality, ranking, snapshots
-from stopline.plans.summary import summary_document
-from stopline.roles import EVENT_PERIOD, FORTNIGHT, ORDER_PERIOD, PRIORITY_MANIFEST
+from stopline.plans.summary import lake_completeness, summary_document
+from stopline.roles import EVENT_MANIFEST, EVENT_PERIOD, FORTNIGHT, ORDER_PERIOD, PRIORITY_MANIFEST
 from stopline.schemas import FEED_DATE, LIST_SIZE
 from stopline.scratch import run_folder
 from stopline.sinks import landing, reports
@@ -28,10 +29,11 @@ QUERIES: dict[str, Query] = {}
 # The moment a report says it was made; a parameter, so that the same input gives the same report.
 MADE_AT = datetime(2024, 2, 1, 8, 30)
 
-# How an archive of a day is named under the base address.
-ARCHIVE_BASE = "https://feeds.example.org/gtfs"
-ARCHIVE_NAME = "/sweden-"
-ARCHIVE_SUFFIX = ".zip"
+# Where archives, feeds and datasets are in the queries that name them.
+ARCHIVE_BASE, FEED_BASE, DATASET_BASE = "https://feeds.example.org/gtfs", "/feeds", "/data"
+
+# How :func:`size_label` writes a size.
+SIZE_LABEL = r"^\d+ B$|^\d+\.\d (KB|MB)$"
 
 
 def query(function: Query) -> Query:
@@ -71,38 +73,51 @@ def csv_feed_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders packed into zip archives, expanded to lines, and the lines parsed as CSV."""
     expanded = archives.archive_lines(spark, _zipped_orders(spark, sf_dir)).filter("line_no > 0")
-    fields = F.from_csv("line", "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING")
-    return expanded.select("member", fields.alias("row")).select("member", "row.*")
+    fields = F.from_csv(
+        "line",
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate DATE, o_orderpriority STRING",
+    )
+    archive = paths.base_name(F.col("archive"))
+    return expanded.select(archive.alias("archive_name"), "member", fields.alias("row")).select("archive_name", "member", "row.*")
 
 
 @query
 def archive_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table read out of the same archives by column name; the last column is in none of them."""
-    rows = archives.archived_table(spark, _zipped_orders(spark, sf_dir), "trips", ["o_custkey", "o_orderkey", "trip_headsign"])
-    return rows.select("o_orderkey", "o_custkey", "trip_headsign")
+    columns = ["o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice", "trip_headsign"]
+    rows = archives.archived_table(spark, _zipped_orders(spark, sf_dir), "trips", columns)
+    return rows.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
 
 
 def _zipped_orders(spark: SparkSession, sf_dir: str) -> str:
-    """Orders as zip archives with one CSV member, written by the tasks that read the orders, and their folder."""
-    root = run_folder(spark, "archives")
+    """Orders as zip archives with one CSV member, named by their year's first day, and their folder.
 
+    The tasks that read the orders write them, each batch in folders of its own.
+    """
+    root = run_folder(spark, "archives")
     uri = root if "://" in root else f"file://{root.removeprefix('file:')}"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import csv, fs
 
         store, folder = fs.FileSystem.from_uri(uri)
-        store.create_dir(folder)
-        for rows in batches:
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive, archive.open("trips.txt", "w") as member:
-                csv.write_csv(rows, member)
-            path = f"{folder}/orders-{rows['o_orderkey'][0]}.zip"
-            with store.open_output_stream(path) as file:
-                file.write(buffer.getvalue())
-            yield pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
-
-    orders = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+        for batch in batches:
+            years = pc.year(batch["o_orderdate"])
+            for year in pc.unique(years).to_pylist():
+                rows = batch.filter(pc.is_null(years) if year is None else pc.equal(years, year))
+                buffer = io.BytesIO()
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive, archive.open("trips.txt", "w") as member:
+                    csv.write_csv(rows, member)
+                inner = f"{folder}/{rows['o_orderkey'][0]}"
+                store.create_dir(inner)
+                path = f"{inner}/undated.zip" if year is None else archives.archive_path(inner, date(year, 1, 1))
+                with store.open_output_stream(path) as file:
+                    file.write(buffer.getvalue())
+                yield pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+
+    orders = roles.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority"
+    )
     orders.mapInArrow(pack, "path string").write.format("noop").mode("overwrite").save()
     return root
 
@@ -110,13 +125,31 @@ def _zipped_orders(spark: SparkSession, sf_dir: str) -> str:
 @query
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed by day as a table of a monthly dataset, and the records in the files of each day."""
+    files = inventory.file_inventory(spark, _event_lake(spark, sf_dir))
+    named = F.endswith("path", F.concat(F.lit("/"), "file_name")) & F.col("file_name").rlike("^part-[^/]*[.]parquet$")
+    return files.groupBy("dataset", FEED_DATE).agg(
+        F.sum("n_records").alias("n_records"),
+        F.bool_and(F.col("length") > 0).alias("all_have_bytes"),
+        F.bool_and(named).alias("all_named"),
+        F.bool_and(F.col("size_label").rlike(SIZE_LABEL)).alias("all_labelled"),
+    )
+
+
+@query
+def dataset_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same dataset as a whole: a file for each day at least, and a readable size."""
+    totals = inventory.dataset_totals(inventory.file_inventory(spark, _event_lake(spark, sf_dir)))
+    enough = (F.col("n_files") >= EVENT_PERIOD.num_days) & (F.col("n_bytes") > 0)
+    return totals.select(
+        "dataset", "n_records", enough.alias("files_for_all_days"), F.col("size_label").rlike(SIZE_LABEL).alias("labelled")
+    )
+
+
+def _event_lake(spark: SparkSession, sf_dir: str) -> str:
     lake = run_folder(spark, "lake")
     month = landing.dataset_path(lake, EVENT_PERIOD.start)
     landing.land(roles.table(spark, sf_dir, "events").withColumn(FEED_DATE, F.to_date("ts")), f"{month}/events")
-    files = inventory.file_inventory(spark, lake)
-    return files.groupBy("dataset", FEED_DATE).agg(
-        F.sum("n_records").alias("n_records"), F.bool_and(F.col("length") > 0).alias("all_have_bytes")
-    )
+    return lake
 
 
 # --- period and union ----------------------------------------------------------------------------------------------
@@ -140,22 +173,21 @@ def period_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("at") + 1).cast("bigint").alias("day_no"),
         FEED_DATE,
         dates.feed_key(F.col(FEED_DATE)).alias("feed_key"),
+        dates.month_key(F.col(FEED_DATE)).alias("month_key"),
         dates.next_day(F.col(FEED_DATE)).alias("next_day"),
     )
 
 
 @query
 def period_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive address, day directory and monthly dataset of each day that has events."""
-    days = counts.records_per_day(roles.event_visits(spark, sf_dir))
-    key, month = dates.feed_key(F.col(FEED_DATE)), dates.month_key(F.col(FEED_DATE))
-    return days.select(
-        FEED_DATE,
-        F.concat(F.lit(ARCHIVE_BASE + ARCHIVE_NAME), key, F.lit(ARCHIVE_SUFFIX)).alias("archive_url"),
-        F.concat(F.lit("sweden-"), key).alias("day_directory"),
-        F.concat(F.lit("/data/"), month, F.lit("/gtfs")).alias("dataset_path"),
-        "n_records",
-    )
+    """Archive address, path of a table and monthly dataset of each day that has events."""
+    per_day = counts.records_per_day(roles.event_visits(spark, sf_dir, None))
+    named = [
+        (day, archives.archive_path(ARCHIVE_BASE, day), feed_csv.table_path(FEED_BASE, day, "stops"), landing.dataset_path(DATASET_BASE, day))
+        for (day,) in per_day.select(FEED_DATE).filter(F.col(FEED_DATE).isNotNull()).collect()  # a row for each calendar day
+    ]
+    names = spark.createDataFrame(named, f"{FEED_DATE} DATE, archive_url STRING, table_path STRING, dataset_path STRING")
+    return per_day.join(names, FEED_DATE, "left")
 
 
 @query
@@ -227,12 +259,12 @@ def route_stats_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feed_day_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.records_per_day(roles.event_visits(spark, sf_dir))
+    return counts.records_per_day(roles.event_visits(spark, sf_dir, None))
 
 
 @query
 def days_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.days_loaded(counts.records_per_day(roles.lineitem_visits(spark, sf_dir)))
+    return counts.days_loaded(counts.records_per_day(roles.lineitem_visits(spark, sf_dir, None)))
 
 
 @query
@@ -313,6 +345,16 @@ def missing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing_tables(*_completeness_input(spark, sf_dir))
 
 
+@query
+def lake_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as a table per type, and which tables each day of that lake has."""
+    lake = run_folder(spark, "typed-lake")
+    events = roles.table(spark, sf_dir, "events").withColumn(FEED_DATE, F.to_date("ts"))
+    for name, _ in EVENT_MANIFEST:
+        landing.land(events.filter(F.col("event_type") == name).select(FEED_DATE, "event_id"), f"{lake}/{name}")
+    return lake_completeness(spark, lake, EVENT_PERIOD, EVENT_MANIFEST)
+
+
 # --- text ----------------------------------------------------------------------------------------------------------
 
 

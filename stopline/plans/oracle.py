@@ -94,27 +94,34 @@ ORACLE: dict[str, str] = {
         SELECT CAST(ts AS DATE) AS feed_date, CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
                event_type, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN CAST(value AS VARCHAR) END AS value
         FROM events""",
-    "archive_expand": "SELECT 'trips.txt' AS member, o_orderkey, o_custkey, o_orderpriority FROM orders",
+    "archive_expand": """
+        SELECT 'sweden-' || year(o_orderdate) || '0101.zip' AS archive_name, 'trips.txt' AS member, o_orderkey, o_custkey,
+               o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+        FROM orders""",
     "archive_table_scan": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-               CAST(NULL AS VARCHAR) AS trip_headsign
+        SELECT make_date(year(o_orderdate), 1, 1) AS feed_date, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+               CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+               o_orderpriority, o_totalprice, CAST(NULL AS VARCHAR) AS trip_headsign
         FROM orders""",
     "file_inventory": """
         SELECT '2024-01' AS dataset, CAST(ts AS DATE) AS feed_date, CAST(count(*) AS BIGINT) AS n_records,
-               true AS all_have_bytes
+               true AS all_have_bytes, true AS all_named, true AS all_labelled
         FROM events GROUP BY CAST(ts AS DATE)""",
+    "dataset_totals": """
+        SELECT '2024-01' AS dataset, CAST(count(*) AS BIGINT) AS n_records, true AS files_for_all_days, true AS labelled
+        FROM events""",
     "period_days": """
         WITH spans AS (
             SELECT event_type, CAST(min(ts) AS DATE) AS first_day, CAST(max(ts) AS DATE) AS last_day
             FROM events GROUP BY event_type)
         SELECT event_type, datediff('day', first_day, last_day) + 1 AS num_days,
                datediff('day', first_day, CAST(d AS DATE)) + 1 AS day_no, CAST(d AS DATE) AS feed_date,
-               strftime(d, '%Y%m%d') AS feed_key, CAST(d + INTERVAL 1 DAY AS DATE) AS next_day
+               strftime(d, '%Y%m%d') AS feed_key, strftime(d, '%Y-%m') AS month_key, CAST(d + INTERVAL 1 DAY AS DATE) AS next_day
         FROM spans, unnest(generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL 1 DAY)) u(d)""",
     "period_paths": """
         WITH per_day AS (SELECT CAST(ts AS DATE) AS feed_date, count(*) AS n_records FROM events GROUP BY 1)
         SELECT feed_date, 'https://feeds.example.org/gtfs/sweden-' || strftime(feed_date, '%Y%m%d') || '.zip' AS archive_url,
-               'sweden-' || strftime(feed_date, '%Y%m%d') AS day_directory,
+               '/feeds/sweden-' || strftime(feed_date, '%Y%m%d') || '/stops.txt' AS table_path,
                '/data/' || strftime(feed_date, '%Y-%m') || '/gtfs' AS dataset_path, n_records
         FROM per_day""",
     "daily_union": "SELECT CAST(ts AS DATE) AS feed_date, count(*) AS n_records FROM events GROUP BY 1",
@@ -163,6 +170,15 @@ ORACLE: dict[str, str] = {
         FROM complete GROUP BY feed_date""",
     "found_tables": f"WITH {_ORDER_DAYS} SELECT feed_date, table_name, required FROM complete WHERE found",
     "missing_tables": f"WITH {_ORDER_DAYS} SELECT feed_date, table_name FROM complete WHERE required AND NOT found",
+    "lake_tables": """
+        WITH days AS (SELECT CAST(d AS DATE) AS feed_date
+                      FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY) g(d)),
+        manifest(table_name, required) AS (
+            VALUES ('view', true), ('click', true), ('purchase', true), ('signup', false), ('refund', false)),
+        observed AS (SELECT CAST(ts AS DATE) AS feed_date, event_type AS table_name, count(*) AS n_records FROM events GROUP BY ALL)
+        SELECT feed_date, table_name, CASE WHEN required THEN '[R]' ELSE '[O]' END AS marker, required,
+               n_records IS NOT NULL AS found, coalesce(n_records, 0) AS n_records
+        FROM days CROSS JOIN manifest LEFT JOIN observed USING (feed_date, table_name)""",
     "size_labels": f"SELECT doc_id, n_chars AS n_bytes, {_size_label('n_chars')} AS size_label FROM documents",
     "source_sizes": f"""
         WITH totals AS (SELECT lang, count(*) AS n_files, CAST(sum(n_chars) AS BIGINT) AS n_bytes

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import date, datetime
 from functools import reduce
 
@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stopline.operators.counts import route_stats, table_counts, trips_per_route, visits_per_stop
+from stopline.operators.quality import completeness, expected_tables, observed_tables
 from stopline.operators.ranking import named_lists
 from stopline.period import Period
 from stopline.schemas import (
     DOCUMENT_SCHEMA,
     FEED_DATE,
+    FEED_MANIFEST,
     LANDED_TABLES,
     LIST_SIZE,
     SUMMARY_COLUMNS,
@@ -120,6 +122,22 @@ def landed_tables(spark: SparkSession, lake: str, period: Period) -> dict[str, D
     return tables
 
 
+def lake_completeness(
+    spark: SparkSession, lake: str, period: Period, manifest: Sequence[tuple[str, bool]] = FEED_MANIFEST
+) -> DataFrame:
+    """:func:`completeness` of the tables landed under ``lake``; a day whose landing was not finished has no rows.
+
+    Records are counted from file footers.
+    """
+    rows = spark.createDataFrame([], f"{FEED_DATE} DATE, table_name STRING")
+    for table, _ in manifest:
+        path = f"{lake.rstrip('/')}/{table}"
+        if days := present_days(spark, path) & set(period):
+            landed = read_landed(spark, path, period, f"unread INT, {FEED_DATE} DATE").filter(F.col(FEED_DATE).isin(*days))
+            rows = rows.unionByName(landed.select(FEED_DATE, F.lit(table).alias("table_name")))
+    return completeness(expected_tables(period.days(spark), manifest), observed_tables(rows))
+
+
 def run_summary(
     spark: SparkSession,
     lake: str,

@@ -15,6 +15,9 @@ ORDER_PERIOD = Period.parse("1995-01-01", "2001-12-31")
 # The fortnight used where cutting a period out of a longer history is the point.
 FORTNIGHT = Period.parse("2024-01-01", "2024-01-14")
 
+# Event types in the role of landed tables; no event has the last one.
+EVENT_MANIFEST = (("view", True), ("click", True), ("purchase", True), ("signup", False), ("refund", False))
+
 # Order priorities in the role of feed tables; no order has the last one.
 PRIORITY_MANIFEST = (
     ("1-URGENT", True),
@@ -30,12 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_visits(spark: SparkSession, sf_dir: str, period: Period = EVENT_PERIOD) -> DataFrame:
-    """Events as timetable rows: each user is a stop."""
+def event_visits(spark: SparkSession, sf_dir: str, period: Period | None = EVENT_PERIOD) -> DataFrame:
+    """Events as timetable rows, of all days if no period is given: each user is a stop."""
     events = table(spark, sf_dir, "events")
-    return events.filter(period.has_time(events.ts)).select(
-        F.to_date("ts").alias(FEED_DATE), F.col("user_id").alias("stop_id")
-    )
+    rows = events if period is None else events.filter(period.has_time(events.ts))
+    return rows.select(F.to_date("ts").alias(FEED_DATE), F.col("user_id").alias("stop_id"))
 
 
 def event_visits_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,12 +59,11 @@ def supplier_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lineitem_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as timetable rows: each part is a stop."""
+def lineitem_visits(spark: SparkSession, sf_dir: str, period: Period | None = ORDER_PERIOD) -> DataFrame:
+    """Line items as timetable rows, of all days if no period is given: each part is a stop."""
     items = table(spark, sf_dir, "lineitem")
-    return items.filter(ORDER_PERIOD.has_time(items.l_shipdate)).select(
-        F.to_date("l_shipdate").alias(FEED_DATE), F.col("l_partkey").alias("stop_id")
-    )
+    rows = items if period is None else items.filter(period.has_time(items.l_shipdate))
+    return rows.select(F.to_date("l_shipdate").alias(FEED_DATE), F.col("l_partkey").alias("stop_id"))
 
 
 def part_stops(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,10 +39,11 @@ def land(rows: DataFrame, path: str, landed_days: str = "keep", day_by_day: bool
         if marks is not None:
             # One row per calendar day, so small whatever the size of the table; its files say otherwise to the planner.
             rows = rows.join(F.broadcast(marks), day == F.col("landed_day"), "left_anti")
-    written = Observation()
-    rows = rows.observe(written, F.collect_set(day).alias("days"))
     if not day_by_day:
         rows = rows.hint("rebalance", FEED_DATE)
+    # Above the shuffle: adaptive execution would drop an observation below one that turns out to have no rows.
+    written = Observation()
+    rows = rows.observe(written, F.collect_set(day).alias("days"))
     writer = rows.write.partitionBy(FEED_DATE)
     match landed_days:
         case "keep" | "replace":

@@ -14,7 +14,7 @@ import pytest
 from stopline.operators import counts, quality, ranking
 from stopline.operators.snapshots import union_days
 from stopline.period import Period
-from stopline.plans.summary import _to_land, land_archives, land_feeds, landed_tables, run_summary, summary_document
+from stopline.plans.summary import _to_land, lake_completeness, land_archives, land_feeds, landed_tables, run_summary, summary_document
 from stopline.schemas import SUMMARY_TABLES
 from stopline.sinks import reports
 from stopline.sinks.landing import land, present_days, read_landed
@@ -133,6 +133,18 @@ def test_completeness(spark, tables):
     assert all(row[-1] for row in rows(quality.verdicts(again)))
 
 
+def test_completeness_of_a_lake(spark, tmp_path):
+    root, lake = minifeed.write_directories(tmp_path / "feed"), str(tmp_path / "lake")
+    (tmp_path / "feed/sweden-20251002/calendar.txt").write_text("service_id,monday\ns1,1\n")
+    land_feeds(spark, root, lake, minifeed.PERIOD)
+    longer = Period.parse("2025-10-01", "2025-10-03")
+    complete = lake_completeness(spark, lake, longer)
+    assert complete.count() == 3 * 11
+    assert [row[1:] for row in sorted(rows(quality.verdicts(complete)))] == [(6, 5, 0, False), (6, 6, 0, True), (6, 0, 0, False)]
+    assert complete.agg({"n_records": "sum"}).first()[0] == sum(minifeed.COUNTS.values()) + 1
+    assert lake_completeness(spark, str(tmp_path / "nothing"), longer).filter("found").count() == 0
+
+
 def test_run(spark, feed_root, tmp_path):
     lake, output = str(tmp_path / "lake"), str(tmp_path / "out")
     land_feeds(spark, feed_root, lake, minifeed.PERIOD)
@@ -240,6 +252,18 @@ def test_landing_replaces_or_refuses(spark, tables, tmp_path):
         land(trips, path, "other")
 
 
+@pytest.mark.parametrize("day_by_day", [False, True])
+def test_landing_nothing_new(spark, tables, tmp_path, day_by_day):
+    path = str(tmp_path / "trips")
+    trips = tables["trips"]
+    land(trips.filter("trip_id = 'none such'"), path, day_by_day=day_by_day)
+    assert present_days(spark, path) == set()
+    for _ in range(2):
+        land(trips, path, day_by_day=day_by_day)
+        assert read_landed(spark, path).count() == trips.count()
+    assert present_days(spark, path) == set(minifeed.PERIOD)
+
+
 def test_a_day_without_its_mark_is_written_again(spark, tables, tmp_path):
     path = str(tmp_path / "trips")
     trips = tables["trips"]
