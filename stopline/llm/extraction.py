@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stopline.llm.common import cut
 from stopline.llm.dom import Page, parse
 
-#: Pages that are learned from, at most; which ones, a hash of the id decides.
+#: Pages that are learned from, at most, of those that name their parts; which ones, a hash of the id decides.
 SAMPLE = 400
 #: Words in class, id and role that mark what is no article, and what is (fixed values).
 AROUND = frozenset(
@@ -126,6 +126,29 @@ def _variants(given: np.ndarray, labels: np.ndarray, seed: int) -> tuple[np.ndar
     return np.concatenate(variants), np.concatenate([labels, renamed, labels])
 
 
+def _naming(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, 200):
+            part = batch.slice(i, 200)
+            yield part.filter(pa.array([any(lessons(parse(source or ""))) for source in part["html"].to_pylist()], pa.bool_()))
+
+
+def naming(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Of the pages that name their parts the first ``sample`` in the order of a hash, all of them if there are fewer.
+
+    A page names its parts if some element is inside an article and in nothing that surrounds one. Pages are tested from the
+    smallest hash on, eight times as many in each round until there are enough or all have been tested.
+    """
+    hashed = pages.select("page_id", "html", F.xxhash64("page_id").alias("_hash"))
+    n, tested = pages.count(), 4 * sample
+    while True:
+        part = hashed if tested >= n else hashed.filter(F.col("_hash") < 2**64 * tested // n - 2**63)
+        some = cut(part.mapInArrow(_naming, hashed.schema).orderBy("_hash", "page_id").limit(sample))
+        if tested >= n or some.count() >= sample:
+            return some.drop("_hash")
+        tested *= 8
+
+
 def _lesson_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, labels = [], []
@@ -176,11 +199,12 @@ def _arrays(tree) -> tuple[np.ndarray, ...]:
 
 
 def learned(pages: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Boosted trees learned from the elements of at most ``sample`` pages, each in three variants.
+    """Boosted trees learned from the elements of at most ``sample`` pages that name their parts, each in three variants.
 
-    Without lessons of both kinds (as when there are no pages) every element counts as the article's.
+    Pages that don't name them teach nothing, since what is the article in them is not known. If no page of the table does
+    (as when there are no pages), nothing can be learned, every element counts as the article's, and all text stays.
     """
-    some = pages.select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).repartition(8)
+    some = naming(pages, sample).repartition(8)
     rows = cut(some.mapInArrow(_lesson_rows, "features array<double>, label double").select(array_to_vector("features").alias("features"), "label"))
     if rows.select("label").distinct().count() < 2:
         return Trees((), (), 1.0)

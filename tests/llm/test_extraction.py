@@ -8,7 +8,7 @@ import pytest
 from conftest_llm import SF_DIR
 
 from stopline.llm.dom import parse
-from stopline.llm.extraction import decided, described, extracted, learned, lessons, main_text
+from stopline.llm.extraction import decided, described, extracted, learned, lessons, main_text, naming
 from stopline.llm.queries import op5_extraction
 
 
@@ -66,3 +66,14 @@ def test_odd_tables(spark):
     got = extracted(pages).collect()
     assert len(got) == 4 and sorted(r["n_chars"] for r in got)[:3] == [0, 0, 0]
     assert extracted(pages.limit(0)).count() == 0
+
+
+def test_only_pages_that_name_their_parts_teach(spark, trees):
+    plain = f"<html><body><div><a href=/>Home</a></div><div><p>{PROSE * 3}</p><p>{PROSE * 2}</p></div></body></html>"
+    rows = [(i, "u", plain) for i in range(3000)] + [(5000 + i, "u", OTHER) for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted(r["page_id"] for r in naming(pages, 20).collect()) == list(range(5000, 5012))
+    assert naming(pages.union(pages), 10).count() == 10 and naming(pages.filter("page_id < 5000")).isEmpty()
+    few = learned(pages, 20)
+    assert few.always is None and main_text(OTHER, few) == main_text(OTHER, trees)
+    assert "Some text" in main_text("<div><p>Some text.</p></div>", learned(pages.filter("page_id < 50")))
