@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,9 +65,10 @@ def described(page: Page) -> np.ndarray:
     marks = [_marks(x) for x in nodes]
     for i, node in enumerate(nodes):
         tags = [nodes[c].tag for c in node.children]
+        times = Counter(tags)
         for k, c in enumerate(node.children):
             place[c] = k / max(1, len(tags) - 1)
-            alike[c] = tags.count(tags[k]) if len(tags) <= 200 else len(tags)
+            alike[c] = times[tags[k]]
         if i:
             up = node.parent
             around[i], inside[i] = around[up] or marks[up][0], inside[up] or marks[up][1]

@@ -77,3 +77,9 @@ def test_only_pages_that_name_their_parts_teach(spark, trees):
     few = learned(pages, 20)
     assert few.always is None and main_text(OTHER, few) == main_text(OTHER, trees)
     assert "Some text" in main_text("<div><p>Some text.</p></div>", learned(pages.filter("page_id < 50")))
+
+
+def test_siblings_are_counted_by_tag_on_long_pages():
+    page = parse("<body><section>" + "<p>One.</p>" * 150 + "<aside>Two.</aside>" + "<p>Three.</p>" * 150 + "</section></body>")
+    alike = dict(zip((n.tag for n in page.nodes), described(page)[:, 10], strict=True))
+    assert alike["aside"] == 1 / 301 and alike["p"] == 300 / 301
