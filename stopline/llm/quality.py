@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stopline.llm.common import cut
 
@@ -23,6 +25,7 @@ WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 ASCII_BLANKS = " \t\n\v\f\r"
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SCHEMA = (
     "doc_id long, host string, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, lines array<struct<line: long, words: long>>"
@@ -34,6 +37,10 @@ def normalised(line: bytes) -> bytes:
     return re.sub(rb"[0-9]+", b"0", b" ".join(line.lower().split()))
 
 
+def line_key(line: bytes) -> int:
+    return xxhash.xxh64_intdigest(normalised(line)) - 2**63
+
+
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """How many words are in windows that the text has twice or more; windows are compared exactly, by doubling ranks."""
     n = len(words) - window + 1
@@ -60,7 +67,7 @@ def measured(text: str) -> dict:
     lines = [x for x in raw.split(b"\n") if x.split()]
     own: dict[int, int] = {}
     for line in lines:
-        key = xxhash.xxh64_intdigest(normalised(line)) - 2**63
+        key = line_key(line)
         own[key] = own.get(key, 0) + len(line.split())
     return {
         "n_words": len(words),
@@ -81,28 +88,34 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v, types.get(k, pa.int64())) for k, v in data.items()})
 
 
-def rated(documents: DataFrame, max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED) -> DataFrame:
-    """Each document's counts, the words that go with its host's frequent lines, and whether it stays.
-
-    Needs ``doc_id``, ``text`` and ``source``, the host; null text is empty, null hosts are one host. A line counts once a
-    document; blank lines are not counted. Rows that agree in all three columns are one document and get the same answer
-    as often as they occur. Line counts combine on the map side, so that one line in a third of all documents is a row
-    for each task; the frequent lines meet the documents' lines in a join that Spark may split on skew.
+@F.arrow_udf(T.StringType())
+def _cleared(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    """The texts without the lines of these hashes; blank lines stay."""
+    kept = []
+    for text, hashes in zip(texts, gone, strict=True):
+        text, hashes = text.as_py(), set(hashes.as_py() or ())
+        if text is not None and hashes:
+            text = "\n".join(x for x in text.split("\n") if not x.encode().split() or line_key(x.encode()) not in hashes)
+        kept.append(text)
+    return pa.array(kept, pa.string())
+
+
+def without_frequent_lines(documents: DataFrame, max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED) -> DataFrame:
+    """The documents with all their columns, ``text`` without its host's frequent lines, and counts of the text as it was.
+
+    The counts are ``_n_words``, ``_word_chars``, ``_n_symbols``, ``_n_dup_lines``, ``_n_repeat_words`` and
+    ``_n_frequent_words``, the words of the lines that went; ``_base_failed`` and ``_kept`` say whether the document stays.
+    Rejected documents are returned too. Needs ``doc_id``, ``text`` and ``source``, the host; null text counts as empty and
+    stays null, null hosts are one host, the empty one. A line counts once a document; blank lines are not counted and stay.
+    Rows that agree in all three columns are one document and get the same answer as often as they occur. Line counts
+    combine on the map side, so that one line in a third of all documents is a row for each task; the frequent lines meet
+    the documents' lines in a join that Spark may split on skew. Texts travel to their document's lines only if ``text`` is
+    asked for.
     """
-    rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").alias("host"),
-        F.xxhash64("text").alias("text_key"),
-        "text",
-    )
+    host = F.coalesce("source", F.lit(""))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), host.alias("host"), F.xxhash64("text").alias("text_key"), "text")
     keys = ["doc_id", "host", "text_key"]
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    each = cut(
-        rows.mapInArrow(_measure, _SCHEMA)
-        .groupBy(*keys)
-        .agg(*(F.first(c).alias(c) for c in counts), F.first("lines").alias("lines"), F.count("*").alias("copies"))
-        .withColumn("host", F.coalesce("host", F.lit("")))
-    )
+    each = cut(rows.mapInArrow(_measure, _SCHEMA).groupBy(*keys).agg(*(F.first(c).alias(c) for c in COUNTS), F.first("lines").alias("lines")))
     lines = each.select(*keys, F.inline("lines"))
     frequent = (
         lines.select("host", "line", "doc_id").distinct().groupBy("host", "line").agg(F.count("*").alias("documents"))
@@ -110,18 +123,30 @@ def rated(documents: DataFrame, max_documents: int = MAX_DOCUMENTS, max_removed:
     gone = (
         lines.join(frequent, ["host", "line"])
         .groupBy(*(F.col(k).alias(f"_{k}") for k in keys))
-        .agg(F.sum("words").alias("n_frequent_words"))
+        .agg(F.sum("words").alias("_n_frequent_words"), F.collect_list("line").alias("_gone"))
     )
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    n, left = F.col("n_words"), F.col("n_words") - F.col("n_frequent_words")
+
+    def same(left: str, right: str) -> Column:
+        return reduce(Column.__and__, (F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys))
+
+    n, frequent_words = F.col("n_words"), F.coalesce("_n_frequent_words", F.lit(0)).cast("long")
     failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > int(100 * MAX_REPEATED) * n)
-    return (
-        each.join(gone, same, "left")
-        .withColumn("n_frequent_words", F.coalesce("n_frequent_words", F.lit(0)).cast("long"))
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & (F.col("n_frequent_words") <= max_removed * n) & (left >= MIN_WORDS))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-        .select("doc_id", *counts, "base_failed", "kept", "n_frequent_words")
+    judged = each.join(gone, same("", "_"), "left").select(
+        *(F.col(k).alias(f"_its_{k}") for k in keys),
+        *(F.col(c).alias(f"_{c}") for c in COUNTS),
+        failed.alias("_base_failed"),
+        (~failed & (frequent_words <= max_removed * n) & (n - frequent_words >= MIN_WORDS)).alias("_kept"),
+        frequent_words.alias("_n_frequent_words"),
+        "_gone",
     )
+    named = documents.withColumns({"_row_doc_id": F.col("doc_id").cast("long"), "_row_host": host, "_row_text_key": F.xxhash64("text")})
+    joined = named.join(judged, same("_row_", "_its_"))
+    told = [f"_{c}" for c in (*COUNTS, "base_failed", "kept", "n_frequent_words")]
+    text = _cleared("text", "_gone").alias("text")
+    return joined.select(*(text if c == "text" else joined[c] for c in documents.columns), *told)
+
+
+def rated(documents: DataFrame, max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED) -> DataFrame:
+    """What ``without_frequent_lines`` tells of each document, without the documents."""
+    rows = without_frequent_lines(documents, max_documents, max_removed)
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(f"_{c}").alias(c) for c in (*COUNTS, "base_failed", "kept", "n_frequent_words")))

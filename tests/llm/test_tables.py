@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from stopline.llm.preference import assembled, borrowed_answers, preference_segments
-from stopline.llm.quality import rated, repeated_words
+from stopline.llm.quality import rated, repeated_words, without_frequent_lines
 from stopline.llm.sharding import shards
 from stopline.llm.substrings import without_repeated_substrings
 
@@ -41,6 +41,22 @@ def test_quality_of_odd_rows_and_frequent_lines(documents, odd):
     assert all(got[3 * i + 1]["kept"] and got[3 * i + 1]["n_frequent_words"] == 0 for i in range(10))  # ten of a host are no more than ten
 
 
+def test_frequent_lines_go_from_the_texts(spark, documents, odd):
+    rows = [(3 * i, f"Shared  line {i}\n\nown{chr(97 + i)} text\nshared line 007\n ") for i in range(11)] + [(3 * i + 1, "Shared line 1\nown") for i in range(10)]
+    rows += [rows[0], (90, None), (93, "Shared line 5\nother")]
+    made = without_frequent_lines(documents(rows))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_frequent_words"]
+    assert made.columns == [*documents(rows).columns, *(f"_{c}" for c in counts)]
+    got = made.collect()
+    want = [(i, f"\nown{chr(97 + i // 3)} text\n " if i < 90 and i % 3 == 0 else "other" if i == 93 else t) for i, t in rows]
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str)
+    assert all(len((r["text"] or "").split()) == r["_n_words"] - r["_n_frequent_words"] and r["lang"] == "en" for r in got)
+    same = without_frequent_lines(odd).select("doc_id", "text").collect()
+    assert sorted(map(tuple, same), key=str) == sorted((tuple(r) for r in odd.select("doc_id", "text").collect()), key=str)
+    plan = rated(documents(rows))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan  # texts are made only if they are asked for
+
+
 def test_repeated_words_against_plain_windows():
     rng = random.Random(2)
     for _ in range(300):
