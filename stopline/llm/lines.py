@@ -1,4 +1,4 @@
-"""Line deduplication across documents: equal lines, and lines within one edited word of an earlier line."""
+"""Line deduplication across documents: equal lines, and lines within one edited word, or sign if short, of an earlier line."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stopline.llm.common import BLANKS, cut, let, small, text_key
 
-#: Lines with fewer words are compared as wholes only: one word is too much of them.
+#: Lines with fewer words are compared as wholes, or by their signs: one word is too much of them.
 MIN_WORDS = 5
 
 
@@ -32,6 +32,19 @@ def _content() -> tuple[Column, Column]:
     return F.xxhash64("norm").alias("c1"), F.xxhash64(F.lit(0), F.col("norm")).alias("c2")
 
 
+def _units(signs: int | None) -> tuple[Column, Column]:
+    """What a line ``norm`` is compared by, its words or if they are few its signs, and whether it is compared so at all.
+
+    A sign has a blank after it, which no word has: lines of words and lines of signs have nothing in common.
+    """
+    words = F.split("norm", " ")
+    long = F.size(words) >= MIN_WORDS
+    if signs is None:
+        return words, long
+    each = F.transform(F.regexp_extract_all("norm", F.lit("(?s)(.)"), F.lit(1)), lambda sign: F.concat(sign, F.lit(" ")))
+    return F.when(long, words).otherwise(each), long | (F.char_length("norm") >= signs)
+
+
 def _outlines(words: Column, segments: int) -> Column:
     """Keys of which two lines within one edited word share at least one: the line without each of so many segments.
 
@@ -99,14 +112,14 @@ def within_one_word(a: Column, b: Column) -> Column:
     return F.when(gap.isin(0, 1), longer(a, b)).when(gap == -1, longer(b, a)).otherwise(False)
 
 
-def line_contents(documents: DataFrame) -> DataFrame:
-    """Each distinct line: where it first occurs, how often, and whether an earlier line is within one word of it.
+def line_contents(documents: DataFrame, signs: int | None = None) -> DataFrame:
+    """Each distinct line: where it first occurs, how often, and whether an earlier line is within one word (or sign) of it.
 
     Only lines that agree with another in the first or last half get to be compared, then only those that agree in seven of
     eight parts; both keep every pair within one word. Those give their variants.
     """
-    words = F.split("norm", " ")
-    halves = F.when(F.size(words) >= MIN_WORDS, let(words, lambda w: _outlines(w, 2))).alias("halves")
+    words, compared = _units(signs)
+    halves = F.when(compared, let(words, lambda w: _outlines(w, 2))).alias("halves")
     place = F.struct(F.col("doc_id").alias("doc"), F.col("text_key"), F.col("line_no").alias("line"))
     contents = cut(
         _lines(documents, *_content(), place.alias("place"), halves)
@@ -116,7 +129,7 @@ def line_contents(documents: DataFrame) -> DataFrame:
     near = cut(_sharing(contents.filter("halves is not null"), F.col("halves")))
     texts = _lines(documents, *_content(), place.alias("place")).join(small(near), "c1", "left_semi")
     texts = texts.groupBy("c1", "c2").agg(F.first("norm").alias("norm"), F.min("place").alias("place"))
-    texts = cut(texts.select("c1", "c2", "place", F.split("norm", " ").alias("words")))
+    texts = cut(texts.select("c1", "c2", "place", words.alias("words")))
     texts = cut(texts.join(_sharing(texts, let(F.col("words"), lambda w: _outlines(w, 8))), "c1", "left_semi"))
 
     variants = _variants(texts)
@@ -136,15 +149,17 @@ def line_contents(documents: DataFrame) -> DataFrame:
     return cut(contents.select("c1", "c2", "place", "times").join(dropped, ["c1", "c2"], "left").withColumn("near", F.coalesce("near", F.lit(False))))
 
 
-def without_repeated_lines(documents: DataFrame) -> DataFrame:
+def without_repeated_lines(documents: DataFrame, signs: int | None = None) -> DataFrame:
     """The documents with all their columns, ``text`` without repeated lines, and ``_lines_before``, ``_lines_after``.
 
     A line goes if an equal line comes before it, or if its content has an earlier first place than it among those within
-    one word (both of ``MIN_WORDS`` words or more). Lines are compared in lower case and without differences of blanks, and
+    one word (both of ``MIN_WORDS`` words or more). With ``signs``, it also goes for an earlier one within one sign, a blank
+    or any other, if both are of fewer words and have so many signs at least: short lines, and lines in scripts without
+    blanks, which otherwise go for equal ones only. Lines are compared in lower case and without differences of blanks, and
     ordered by doc_id (null first), a hash of the text, and place in the text; each is judged on the input. Blank lines
     stay. Null texts stay null; rows that agree in doc_id and text are one document and keep the same lines.
     """
-    contents = line_contents(documents)
+    contents = line_contents(documents, signs)
     doubtful = contents.filter("near or times > 1").select("c1", "c2", "place", "near")
     places = _lines(documents, *_content()).drop("norm")
     here = F.struct(F.col("doc_id").alias("doc"), F.col("text_key"), F.col("line_no").alias("line"))

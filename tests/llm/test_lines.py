@@ -85,3 +85,19 @@ def test_within_one_word(spark):
     frame = spark.createDataFrame(pairs, "a array<string>, b array<string>")
     for a, b, near in frame.select("a", "b", within_one_word(frame.a, frame.b)).collect():
         assert near == (distance(a, b) <= 1), (a, b)
+
+
+def test_signs_of_short_lines_and_of_lines_without_blanks(documents):
+    rng = random.Random(9)
+    chinese = "本网站使用缓存技术以改善您的浏览体验请点击同意后继续访问"
+    kept = ["a b c d e", "abcde", "one two three four five", "one two three four", "row", "rob"]
+    rows = [(1, "\n".join([chinese, "Read more here", "🙂 smile", *kept])), (2, "\n".join([chinese[:9] + "与" + chinese[10:], chinese + "！", chinese[1:], "Read more there", "read morehere", "🙃 smile"]))]
+    got = dict(without_repeated_lines(documents(rows), signs=5).select("doc_id", "text").collect())
+    assert got == {1: rows[0][1], 2: ""}
+    assert dict(without_repeated_lines(documents(rows)).select("doc_id", "text").collect()) == dict(rows)
+    lines = ["".join(rng.choice("ab ") for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    split = {k: x if len(x) >= MIN_WORDS else tuple(f"{s} " for s in " ".join(x)) for k, x in ((k, norm(x)) for k, x in enumerate(lines))}
+    near = lambda a, b: len(a) >= 5 and len(b) >= 5 and abs(len(a) - len(b)) < 2 and distance(a, b) <= 1
+    want = [(k, not x and lines[k] or (lines[k] if not any(split[j] == x or near(split[j], x) for j in range(k)) else "")) for k, x in split.items()]
+    got = without_repeated_lines(documents(list(enumerate(lines))), signs=5).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got)) == want
