@@ -10,7 +10,7 @@ import pytest
 
 from stopline.llm.preference import assembled, borrowed_answers, preference_segments
 from stopline.llm.quality import rated, repeated_words, without_frequent_lines
-from stopline.llm.sharding import shards
+from stopline.llm.sharding import sharded, shards
 from stopline.llm.substrings import without_repeated_substrings
 
 
@@ -31,6 +31,17 @@ def test_shards_are_contiguous_balanced_and_gapless(documents, odd):
     assert shards(documents([])).count() == 0
 
 
+def test_sharded_documents_keep_their_columns(documents, odd):
+    rows = [(i % 40, f"text {i % 7}") for i in range(300)] + [(77, "copy")] * 200
+    for frame in (documents(rows), odd):
+        got = sharded(frame)
+        assert got.columns == [*frame.columns, "_size", "_text_crc32", "_shard", "_slot"]
+        plain = lambda x: sorted(map(str, x.collect()))
+        assert plain(got.select(*frame.columns)) == plain(frame)
+        assert got.select("_shard", "_slot").distinct().count() == frame.count()
+        assert plain(got.selectExpr("doc_id", "_size AS size", "_text_crc32 AS text_crc32", "_shard AS shard", "_slot AS slot")) == plain(shards(frame))
+
+
 def test_quality_of_odd_rows_and_frequent_lines(documents, odd):
     assert rated(odd).count() == odd.count() and rated(documents([])).count() == 0
     own = lambda i, n: " ".join(f"own{i}x{k}" for k in range(n))
