@@ -1,4 +1,4 @@
-"""Near-duplicates by SimHash fingerprints, linked by multi-index hashing."""
+"""Near-duplicates by SimHash fingerprints, linked where their neighbourhoods of one bit meet."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from stopline.llm.common import components, cut
 
 SHINGLE = 3
 SEED = 42
-#: Differing bits up to which fingerprints link: twice the radius of the balls.
+#: Differing bits up to which fingerprints link: twice the radius of the neighbourhoods.
 DISTANCE = 2
 _CHUNK = 1 << 15
 
@@ -45,11 +45,11 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def links(prints: DataFrame) -> DataFrame:
     """``(a, b)`` between distinct fingerprints ``print``, so that the linked ones are those that 2 bits or fewer tell apart.
 
-    A fingerprint has two segments of 32 bits. Two fingerprints that differ in 2 bits or fewer meet in the ball of radius 1
-    around each, taken within one segment at a time: both bits in one segment, or one in each, leave a value one step from
-    both. So every fingerprint is put into the table under itself and its 32 neighbours in each segment. Fingerprints
-    found at one place are within 2 bits of each other, 65 at most; linking each to the smallest of them, after comparing
-    all 64 bits, keeps everything connected without writing out pairs.
+    Two fingerprints that differ in 2 bits or fewer have a value in common that is one bit or none from each. So every
+    fingerprint is put into the table under itself and its 64 neighbours of one bit. Fingerprints found at one place are
+    within 2 bits of each other, 65 at most; linking each to the smallest of them keeps everything connected without
+    writing out pairs. No segments are looked up, so this is not multi-index hashing, and the comparison of all 64 bits
+    at the end only confirms.
     """
     steps = [0, *(1 << bit for bit in range(63)), -(1 << 63)]
     ball = F.array(*(F.col("print").bitwiseXOR(F.lit(step).cast("long")) for step in steps))
