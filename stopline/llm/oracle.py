@@ -1,6 +1,6 @@
 """The queries as SQL for DuckDB, where SQL can express them.
 
-Hashes of 64 bits (2), learned models (1, 5, pipeline) and tokenizers (10) are beyond SQL; tests hold those queries against
+Hashes of 64 bits (2), learned models (1, 5, pipeline) and tokenizers (10, 11) are beyond SQL; tests hold those queries against
 brute force.
 """
 
@@ -169,6 +169,66 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, (len(d.words) - coalesce(k.n,
 FROM docs d LEFT JOIN kept k USING (doc_id)
 """
 
+_HARD_NEGATIVES = """
+WITH fit AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vector
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), long AS (
+  SELECT vec_id, label, unnest(vector) AS x, unnest(range(len(vector))) AS i FROM fit
+), scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike, sum(a.x * r.x)::BIGINT AS score
+  FROM long a JOIN long r USING (i) WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id GROUP BY ALL
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 10
+"""
+
+_TRIE = f"""
+WITH convs AS (
+  SELECT conv_id, count(*) AS n, hex(encode(conv_id::VARCHAR)) AS digits, len(conv_id::VARCHAR) AS size
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+  SELECT conv_id, n, conv_id - conv_id % 5 AS donor, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(size), lambda i: ('0x' || substr(digits, 2 * i + 1, 2))::BIGINT)),
+    lambda sum, byte: xor(sum >> 8, remainders[(xor(sum, byte) & 255) + 1])), 4294967295::BIGINT) % 9 AS head
+  FROM convs, {_crc_table()}
+), turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, '')) AS pos,
+    octet_length(encode(coalesce(text, ''))) AS bytes, md5(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations
+), spliced AS (
+  SELECT c.conv_id, pos AS depth, bytes, digest FROM heads c JOIN turns t ON t.conv_id = c.donor AND pos <= head
+  UNION ALL
+  SELECT c.conv_id, pos - head + least(head, coalesce(d.n, 0)), bytes, digest
+  FROM heads c JOIN turns t ON t.conv_id = c.conv_id AND pos > head LEFT JOIN convs d ON d.conv_id = c.donor
+), paths AS (
+  SELECT conv_id, depth, bytes, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM spliced
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), nodes AS (
+  SELECT path, min(conv_id) AS conv_id, min(depth) AS depth, min(bytes) AS bytes, count(*) AS n_convs FROM paths GROUP BY path
+), families AS (
+  SELECT left(path, 32 * (depth - 1)::INT) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), sums AS (
+  SELECT p.path, sum((n_convs - 1) * n.bytes) AS saved, count(*) FILTER (n_children IS NULL) AS leaves
+  FROM nodes n LEFT JOIN families f ON f.path = n.path JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.path
+), ends AS (
+  SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS digest
+  FROM (SELECT conv_id, path FROM paths QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1) GROUP BY path
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, coalesce(e.digest, sha256('')) AS ends_sha256
+FROM nodes n JOIN sums s ON s.path = n.path LEFT JOIN families f ON f.path = n.path LEFT JOIN ends e ON e.path = n.path
+LEFT JOIN nodes u ON n.depth > 0 AND u.path = left(n.path, 32 * (n.depth - 1)::INT)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": _LINES,
     "op4_sharding": _SHARDS,
@@ -176,4 +236,6 @@ ORACLE: dict[str, str] = {
     "op7_quality": _QUALITY,
     "op8_preference": _PREFERENCE,
     "op9_substrings": _SUBSTRINGS,
+    "op12_hard_negatives": _HARD_NEGATIVES,
+    "op13_prefix_trie": _TRIE,
 }

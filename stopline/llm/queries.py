@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopline.llm import decontamination, extraction, lines, packing, preference, quality, sharding, simhash, substrings, toxicity
+from stopline.llm import (
+    decontamination,
+    extraction,
+    hard_negatives,
+    lines,
+    packing,
+    preference,
+    prefix_trie,
+    quality,
+    sharding,
+    simhash,
+    substrings,
+    token_counts,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +79,23 @@ def op10_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
     return packing.pack(table(spark, sf_dir, "documents"), path, with_ids=False)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), path, limit=1024)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.vectors(table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, lower=30, upper=90, positives=5, negatives=10)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return prefix_trie.trie(*prefix_trie.spliced(turns, every=5, head=head))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_preference,
         op9_substrings,
         op10_packing,
+        op11_token_counts,
+        op12_hard_negatives,
+        op13_prefix_trie,
         pipeline,
     )
 }
