@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stopline.operators.counts import route_stats, table_counts, trips_per_route, visits_per_stop
-from stopline.operators.quality import completeness, expected_tables, observed_tables
+from stopline.operators.quality import completeness, expected_tables
 from stopline.operators.ranking import named_lists
 from stopline.period import Period
 from stopline.schemas import (
@@ -23,9 +23,9 @@ from stopline.schemas import (
     SUMMARY_COLUMNS,
     SUMMARY_TABLES,
 )
-from stopline.sinks.landing import land, present_days, read_landed
+from stopline.sinks.landing import land, landed_records, present_days, read_landed
 from stopline.sinks.reports import report_lines, result_path, write_document, write_report
-from stopline.sources.archives import archive_path, archived_table
+from stopline.sources.archives import archive_path, open_archives
 from stopline.sources.documents import read_document
 from stopline.sources.feed_csv import read_feed_period
 
@@ -96,12 +96,17 @@ def land_feeds(spark: SparkSession, feed_root: str, lake: str, period: Period, l
 
 
 def land_archives(spark: SparkSession, archive_root: str, lake: str, period: Period, landed_days: str = "keep") -> None:
-    """The same from each day's zip archive. Only archives of days that are not landed yet are opened."""
-    for table, path, days in _to_land(spark, lake, period, landed_days):
-        paths = [archive_path(archive_root, day) for day in days]
-        rows = archived_table(spark, paths, table, optional=table not in SUMMARY_TABLES)
+    """The same from each day's zip archive. Archives of days that are not landed yet are opened, once for all tables."""
+    tables = list(_to_land(spark, lake, period, landed_days))
+    days = sorted({day for _, _, missing in tables for day in missing})
+    if not days:
+        return
+    optional = [table for table in LANDED_TABLES if table not in SUMMARY_TABLES]
+    opened = open_archives(spark, [archive_path(archive_root, day) for day in days], [table for table, _, _ in tables], optional)
+    for table, path, missing in tables:
+        rows = opened.table(table, days=missing)
         if rows.columns != [FEED_DATE]:  # no archive has the table
-            land(rows, path, landed_days)
+            land(rows, path, landed_days, day_by_day=True)
 
 
 def _to_land(spark: SparkSession, lake: str, period: Period, landed_days: str) -> Iterator[tuple[str, str, list[date]]]:
@@ -127,15 +132,15 @@ def lake_completeness(
 ) -> DataFrame:
     """:func:`completeness` of the tables landed under ``lake``; a day whose landing was not finished has no rows.
 
-    Records are counted from file footers.
+    It reads the manifests of the landings, a row for each table and day, and no data.
     """
-    rows = spark.createDataFrame([], f"{FEED_DATE} DATE, table_name STRING")
-    for table, _ in manifest:
-        path = f"{lake.rstrip('/')}/{table}"
-        if days := present_days(spark, path) & set(period):
-            landed = read_landed(spark, path, period, f"unread INT, {FEED_DATE} DATE").filter(F.col(FEED_DATE).isin(*days))
-            rows = rows.unionByName(landed.select(FEED_DATE, F.lit(table).alias("table_name")))
-    return completeness(expected_tables(period.days(spark), manifest), observed_tables(rows))
+    found = [
+        (day, table, n)
+        for table, _ in manifest
+        for day, n in landed_records(spark, f"{lake.rstrip('/')}/{table}", period).items()
+    ]
+    observed = spark.createDataFrame(found, f"{FEED_DATE} DATE, table_name STRING, n_records BIGINT")
+    return completeness(expected_tables(period.days(spark), manifest), observed)
 
 
 def run_summary(

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
+from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stopline.period import Period
 from stopline.schemas import FEED_DATE
+from stopline.sinks.snapshots import Landed, entries, exists, live_entries, publish
 
-# Where a table keeps the days that are landed; readers of the table pass over names with an underscore.
-_MARKS, _MARK = "_landed_days", "landed_day STRING"
+# Fixed value: Spark's directory of rows without a partition value.
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def dataset_path(base: str, month: date, part: str = "gtfs") -> str:
@@ -21,40 +23,39 @@ def dataset_path(base: str, month: date, part: str = "gtfs") -> str:
     return f"{base.rstrip('/')}/{month:%Y-%m}/{part}"
 
 
-def land(rows: DataFrame, path: str, landed_days: str = "keep", day_by_day: bool = False) -> None:
+def land(
+    rows: DataFrame, path: str, landed_days: str = "keep", day_by_day: bool = False, sources: Mapping[date, str] | None = None
+) -> None:
     """Write a table with a ``feed_date`` column under ``path``.
 
     ``landed_days`` says what happens to days that are already there: ``keep`` leaves them and writes the others,
-    ``replace`` overwrites just those days, ``fail`` refuses to write to a path in use. A day is there once it is marked,
-    which is done after its commit: what a run left that died on the way is written anew. A ``replace`` that dies has to be
-    run again, since the marks of its days stay.
+    ``replace`` puts these rows in place of those days, ``fail`` refuses to write to a path in use. Files carry the name of
+    their landing, and a landing counts from the moment its manifest is published, which comes last: until then, and for
+    ever if it dies before, :func:`read_landed` reads what was there before. ``sources``: see :class:`Landed`.
 
     Rows in any order are shuffled by day. The rebalance hint gives each day few files of even size and lets adaptive
     execution split a day that is much larger than the others over several tasks. Rows that come from files of one day
     each (``day_by_day``) are written where they are read: a task has one day, or a few small ones.
     """
     spark, day = rows.sparkSession, F.coalesce(F.col(FEED_DATE).cast("string"), F.lit(""))
-    if landed_days == "keep":
-        marks = _marks(spark, path)
-        if marks is not None:
-            # One row per calendar day, so small whatever the size of the table; its files say otherwise to the planner.
-            rows = rows.join(F.broadcast(marks), day == F.col("landed_day"), "left_anti")
+    if landed_days not in ("keep", "replace", "fail"):
+        raise ValueError(f"landed_days: {landed_days!r}")
+    if landed_days == "fail" and exists(spark, path):
+        raise FileExistsError(f"[PATH_ALREADY_EXISTS] {path}")
+    if landed_days == "keep" and (there := [(e.day,) for e in entries(spark, path) if e.live]):
+        kept = spark.createDataFrame(there, "landed_day STRING")  # a row for each calendar day
+        rows = rows.join(F.broadcast(kept), day == F.col("landed_day"), "left_anti")
     if not day_by_day:
         rows = rows.hint("rebalance", FEED_DATE)
     # Above the shuffle: adaptive execution would drop an observation below one that turns out to have no rows.
-    written = Observation()
+    written, landing = Observation(), f"r{uuid4().hex[:16]}"
     rows = rows.observe(written, F.collect_set(day).alias("days"))
-    writer = rows.write.partitionBy(FEED_DATE)
-    match landed_days:
-        case "keep" | "replace":
-            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        case "fail":
-            writer = writer.mode("errorifexists")
-        case _:
-            raise ValueError(f"landed_days: {landed_days!r}")
-    writer.parquet(path)
+    rows.write.partitionBy(FEED_DATE).mode("append").option("mapreduce.output.basename", f"part-{landing}").parquet(path)
     if days := written.get["days"]:
-        spark.createDataFrame([(d,) for d in sorted(days)], _MARK).coalesce(1).write.mode("append").parquet(f"{path}/{_MARKS}")
+        counted = _files(spark.read.schema(f"unread INT, {FEED_DATE} STRING"), path, days, {landing}).groupBy(FEED_DATE).count()
+        counts = {found or "": n for found, n in counted.collect()}  # from the footers of the files just written
+        by_day = {d.isoformat(): source for d, source in (sources or {}).items()}
+        publish(spark, path, landing, counts, landed_days == "replace", by_day)
 
 
 def read_landed(
@@ -62,25 +63,43 @@ def read_landed(
 ) -> DataFrame:
     """A landed table; with a period, only the directories of its days are read.
 
-    Name the columns in ``schema`` where there are many files: otherwise the footers of all of them are looked at, to find
-    columns that only some days have.
+    What is read comes from the table's manifest: files of landings that have not finished, or whose day was replaced, are
+    not. Name the columns in ``schema`` where there are many files: otherwise the footers of all of them are looked at, to
+    find columns that only some days have.
     """
+    known = entries(spark, path)
+    asked = [e for e in known if period is None or (e.day and period.start <= e.date <= period.end)]
+    live = [e for e in asked if e.live]
+    if not live:
+        if schema is not None:
+            return spark.createDataFrame([], schema)
+        live = asked = [e for e in known if e.live]
+    if not live:
+        raise FileNotFoundError(f"nothing is landed under {path}")
     reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
-    rows = reader.parquet(path)
+    landings = {e.landing for e in live}
+    rows = _files(reader, path, [e.day for e in live], landings)
+    if replaced := [e for e in asked if not e.live and e.landing in landings]:  # their landing still counts for other days
+        rows = rows.filter(~F.concat_ws(" ", F.col(FEED_DATE).cast("string"), _landing_of()).isin([f"{e.day} {e.landing}" for e in replaced]))
     return rows if period is None else rows.filter(period.has_day(rows[FEED_DATE]))
 
 
 def present_days(spark: SparkSession, path: str) -> set[date]:
-    """The days whose landing under ``path`` was finished: a date for each calendar day."""
-    marks = _marks(spark, path)
-    return set() if marks is None else {date.fromisoformat(row["landed_day"]) for row in marks.collect() if row["landed_day"]}
-
-
-def _marks(spark: SparkSession, path: str) -> DataFrame | None:
-    """The days marked as landed under ``path``, as text; empty text for rows without a day."""
-    try:
-        return spark.read.schema(_MARK).parquet(f"{path}/{_MARKS}").distinct()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """The days that are landed under ``path``."""
+    return set(live_entries(spark, path))
+
+
+def landed_records(spark: SparkSession, path: str, period: Period) -> dict[date, int]:
+    """The landed days of a period with their records, from the manifest alone."""
+    return {day: e.n_records for day, e in live_entries(spark, path).items() if period.start <= day <= period.end}
+
+
+def _files(reader, path: str, days: list[str], landings: set[str]) -> DataFrame:
+    """What some landings wrote for some days."""
+    folders = [f"{path}/{FEED_DATE}={day or _NO_DAY}" for day in sorted(days)]
+    names = f"part-{{{','.join(sorted(landings))}}}-*"
+    return reader.options(basePath=path, pathGlobFilter=names).parquet(*folders)
+
+
+def _landing_of():
+    return F.split_part(F.col("_metadata.file_name"), F.lit("-"), F.lit(2))

@@ -146,3 +146,65 @@ def test_an_archive_is_written_by_several_tasks(spark, tmp_path):
     files = landed.groupBy("feed_date").agg(F.count_distinct("_metadata.file_path").alias("f"), F.count("*").alias("n"))
     assert {row.feed_date.day: row.n for row in files.collect()} == {1: 200_000, 2: 100}
     assert {row.feed_date.day: row.f > 1 for row in files.collect()}[1]
+
+
+def test_an_archive_is_opened_once_for_all_tables(root, monkeypatch):
+    """The tasks' functions, run here: one look finds all members, and reading them does not open the archive again."""
+    import pyarrow as pa
+
+    opened = []
+    storage, zip_file = archives._open_storage, zipfile.ZipFile
+    monkeypatch.setattr(archives, "_open_storage", lambda path: opened.append(path) or storage(path))
+    paths = [f"file:{root}/sweden-{day}.zip" for day in minifeed.DAYS]
+    batch = pa.RecordBatch.from_pydict({"path": paths})
+    tables = ["agency", "routes", "stops", "trips", "stop_times", "calendar"]
+    places = [p for found in archives._find_members(tables, ["calendar"])(iter([batch])) for p in found.to_pylist()]
+    assert opened == paths and len(places) == 10
+
+    def refuse(*_):
+        raise AssertionError("opened again")
+
+    monkeypatch.setattr(zipfile, "ZipFile", refuse)
+    reader = archives._MemberReader(places)
+    assert len(reader.partitions()) == 10
+    for partition in reader.partitions():
+        place = partition.value
+        lines = [line for rows in reader.read(partition) for line in rows["line"].to_pylist()]
+        day = place["archive"][-12:-4]
+        assert [place["header"], *lines] == minifeed.DAYS[day][place["table_name"]].splitlines()
+    monkeypatch.setattr(zipfile, "ZipFile", zip_file)
+
+
+def test_landing_all_tables_opens_the_archives_once(spark, root, tmp_path, way, monkeypatch):
+    from stopline.plans import summary
+
+    calls = []
+    real = summary.open_archives
+    monkeypatch.setattr(summary, "open_archives", lambda *given: calls.append(given) or real(*given))
+    for _ in range(2):
+        summary.land_archives(spark, root, str(tmp_path / "lake"), minifeed.PERIOD)
+    assert [(len(paths), len(tables)) for _, paths, tables, _ in calls] == [(2, 9), (2, 4)]  # then only tables that no archive had
+    for table, n in minifeed.COUNTS.items():
+        assert read_landed(spark, str(tmp_path / "lake" / table)).count() == n
+
+
+def test_stored_changed_and_broken_members(spark, tmp_path):
+    file = tmp_path / "sweden-20251001.zip"
+    with zipfile.ZipFile(file, "w", zipfile.ZIP_STORED) as archive:
+        archive.writestr("feed/stops.txt", "a\n1\n2\n")
+    opened = archives.open_archives(spark, str(tmp_path), ["stops"])
+    assert sorted(r.a for r in opened.table("stops").collect()) == ["1", "2"]
+    content = file.read_bytes()
+    file.write_bytes(content.replace(b"a\n1\n2\n", b"a\n1\n3\n"))
+    with pytest.raises(Exception, match="CRC"):
+        opened.table("stops").collect()
+    file.write_bytes(b"x" * len(content))
+    with pytest.raises(Exception, match="has changed since"):
+        opened.table("stops").collect()
+
+
+def test_only_the_archives_of_some_days(spark, root, way):
+    opened = archives.open_archives(spark, root, ["trips", "stops"])
+    days = [minifeed.PERIOD.end]
+    assert {str(r.feed_date) for r in opened.table("trips", days=days).collect()} == {"2025-10-02"}
+    assert opened.table("trips", days=[]).count() == 0 and opened.table("trips").count() == 6
