@@ -24,9 +24,30 @@ def visits_per_stop(visits: DataFrame, num_days: int) -> DataFrame:
     if num_days < 1:
         raise ValueError("num_days must be at least 1")
     totals = visits.groupBy("stop_id").agg(F.count("*").alias("total_visits"))
+    return _averaged(totals, num_days)
+
+
+def visits_from_days(per_day: DataFrame, num_days: int) -> DataFrame:
+    """:func:`visits_per_stop` from the output of :func:`rows_per_day` for ``stop_id``."""
+    if num_days < 1:
+        raise ValueError("num_days must be at least 1")
+    return _averaged(merged_days(per_day, "stop_id", "total_visits"), num_days)
+
+
+def _averaged(totals: DataFrame, num_days: int) -> DataFrame:
     return totals.withColumn("avg_visits_per_day", F.col("total_visits") / F.lit(num_days))
 
 
+def rows_per_day(rows: DataFrame, key: str) -> DataFrame:
+    """``(feed_date, key, n_rows)``: partial counts that :func:`merged_days` makes counts of any days of."""
+    return rows.groupBy(FEED_DATE, key).agg(F.count("*").alias("n_rows"))
+
+
+def merged_days(per_day: DataFrame, key: str, name: str) -> DataFrame:
+    """``(key, name)``: the rows of each key over all days, from the output of :func:`rows_per_day`."""
+    return per_day.groupBy(key).agg(F.sum("n_rows").alias(name))
+
+
 def trips_per_route(trips: DataFrame) -> DataFrame:
     """``(route_id, trip_count)``; a trip in several snapshots counts once in each, trips without a route form one group."""
     return trips.groupBy("route_id").agg(F.count("*").alias("trip_count"))

@@ -15,11 +15,17 @@ def latest_snapshot(
 ) -> DataFrame:
     """``(key, *values)`` of the newest row of each key.
 
-    ``newest`` orders the rows of a key; give enough columns to make the choice unique. The aggregate keeps one candidate
-    per key and task before the shuffle, so a key with very many snapshots is no burden.
+    ``newest`` orders the rows of a key, the day first; give enough columns to make the choice unique. The newest day of each
+    key is a hash aggregate over two columns of fixed width, which keeps one candidate per key and task before the shuffle.
+    Only rows of that day then meet the rest of the order and the values: by a join with one row per key, which adaptive
+    execution broadcasts if it turns out small, and whose other side spreads a key of many snapshots over its days.
     """
-    best = F.max_by(F.struct(*values), F.struct(*newest))
-    return rows.groupBy(key).agg(best.alias("_row")).select(key, *[F.col(f"_row.{v}").alias(v) for v in values])
+    day, *rest = [F.col(c) if isinstance(c, str) else c for c in newest]
+    days = rows.groupBy(key).agg(F.max(day).alias("_newest")).withColumnRenamed(key, "_key")
+    of_day = rows.withColumn("_day", day).join(days, F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_newest")))
+    order = F.struct(*rest) if rest else F.struct(*values)
+    best = F.max_by(F.struct(*values), order)
+    return of_day.groupBy(key).agg(best.alias("_row")).select(key, *[F.col(f"_row.{v}").alias(v) for v in values])
 
 
 def latest_stops(stops: DataFrame) -> DataFrame:

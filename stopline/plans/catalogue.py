@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from stopline import roles
 from stopline.functions import dates, paths, text
 from stopline.operators import counts, dimensions, lines, quality, ranking, snapshots
-from stopline.plans.summary import lake_completeness, summary_document
+from stopline.period import Period
+from stopline.plans import rolling
+from stopline.plans.summary import lake_completeness, lake_document, summary_document
 from stopline.roles import EVENT_MANIFEST, EVENT_PERIOD, FORTNIGHT, ORDER_PERIOD, PRIORITY_MANIFEST
-from stopline.schemas import FEED_DATE, LIST_SIZE
+from stopline.schemas import FEED_DATE, LIST_SIZE, SUMMARY_TABLES
 from stopline.scratch import run_folder
 from stopline.sinks import landing, reports
 from stopline.sources import archives, documents, feed_csv, inventory
@@ -26,6 +28,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+# The fortnight moved on by a day.
+MOVED = Period.parse("2024-01-02", "2024-01-15")
+
 # The moment a report says it was made; a parameter, so that the same input gives the same report.
 MADE_AT = datetime(2024, 2, 1, 8, 30)
 
@@ -198,7 +203,7 @@ def daily_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing.land(events.select(FEED_DATE, "user_id"), path)
     days = (
         snapshots.tag_snapshot(spark.read.schema("user_id BIGINT").parquet(f"{path}/{FEED_DATE}={day}"), day)
-        for day in EVENT_PERIOD
+        for day in sorted(landing.present_days(spark, path))
     )
     return counts.records_per_day(snapshots.union_days(days))
 
@@ -224,6 +229,42 @@ def land_and_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- aggregates ----------------------------------------------------------------------------------------------------
 
 
+def _event_feed(spark: SparkSession, sf_dir: str) -> str:
+    """Events landed as the five summary tables: all are timetable rows and trips, those of three types other tables."""
+    lake = run_folder(spark, "event-feed")
+    events = roles.table(spark, sf_dir, "events")
+    user = F.col("user_id").cast("string")
+    stop = F.when(F.col("event_type") != "error", user)
+    rows = events.select(F.to_date("ts").alias(FEED_DATE), "event_type", user.alias("user"), stop.alias("stop_id"))
+    tables = {
+        "agency": rows.filter("event_type = 'signup'").select(FEED_DATE, F.col("user").alias("agency_id")),
+        "routes": rows.filter("event_type = 'click'").select(FEED_DATE, F.col("user").alias("route_id")),
+        "stops": rows.filter("event_type = 'purchase'").select(FEED_DATE, F.col("user").alias("stop_id"), F.concat(F.lit("Stop "), "user").alias("stop_name")),
+        "trips": rows.select(FEED_DATE, F.col("user").alias("route_id")),
+        "stop_times": rows.select(FEED_DATE, "stop_id"),
+    }
+    for name, table in tables.items():
+        landing.land(table, f"{lake}/{name}")
+    return lake
+
+
+@query
+def rolling_stop_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits of a fortnight that has moved on by a day: its last day is counted, the others' counts are there."""
+    lake = _event_feed(spark, sf_dir)
+    for period in (FORTNIGHT, MOVED):
+        rolling.keep_day_counts(spark, lake, period)
+    return counts.visits_from_days(rolling.day_counts(spark, lake, "stop_times", MOVED), MOVED.num_days)
+
+
+@query
+def lake_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, days and route statistics of the document of a landed lake, as flat columns."""
+    document = lake_document(spark, _event_feed(spark, sf_dir), EVENT_PERIOD)
+    days = [F.col(f"days_loaded.{name}").alias(f"{name}_days") for name in SUMMARY_TABLES]
+    return document.select("period.*", "counts.*", *days, "route_stats.*")
+
+
 @query
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("region", "nation", "customer", "orders", "lineitem")

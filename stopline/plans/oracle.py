@@ -145,6 +145,24 @@ ORACLE: dict[str, str] = {
     "route_stats_null_key": f"""
         WITH trips AS (SELECT stop_id AS route_id, total_visits AS trip_count FROM ({_EVENT_VISITS_WITH_GAPS}))
         {_ROUTE_STATS}""",
+    "rolling_stop_visits": """
+        SELECT CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS stop_id, count(*) AS total_visits,
+               count(*) / 14.0::DOUBLE AS avg_visits_per_day
+        FROM events WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-16' GROUP BY 1""",
+    "lake_summary": f"""
+        WITH feed AS (SELECT *, CAST(ts AS DATE) AS day FROM events
+                      WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31'),
+        trips AS (SELECT user_id AS route_id, count(*) AS trip_count FROM feed GROUP BY user_id), stats AS ({_ROUTE_STATS})
+        SELECT '2024-01-01' AS start_date, '2024-01-30' AS end_date, CAST(30 AS INTEGER) AS num_days,
+               count(*) FILTER (event_type = 'signup') AS agency, count(*) FILTER (event_type = 'click') AS routes,
+               count(*) FILTER (event_type = 'purchase') AS stops, count(*) AS trips, count(*) AS stop_times,
+               count(DISTINCT day) FILTER (event_type = 'signup') AS agency_days,
+               count(DISTINCT day) FILTER (event_type = 'click') AS routes_days,
+               count(DISTINCT day) FILTER (event_type = 'purchase') AS stops_days,
+               count(DISTINCT day) AS trips_days, count(DISTINCT day) AS stop_times_days,
+               any_value(total_routes) AS total_routes, any_value(avg_trips_per_route) AS avg_trips_per_route,
+               any_value(single_trip_routes) AS single_trip_routes
+        FROM feed, stats""",
     "feed_day_totals": "SELECT CAST(ts AS DATE) AS feed_date, count(*) AS n_records FROM events GROUP BY 1",
     "days_loaded": "SELECT count(DISTINCT CAST(l_shipdate AS DATE)) AS n_days, count(*) AS n_records FROM lineitem",
     "latest_dimension": """

@@ -8,19 +8,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stopline.operators.counts import route_stats, table_counts, trips_per_route, visits_per_stop
+from stopline.operators.counts import merged_days, route_stats, table_counts, trips_per_route, visits_from_days, visits_per_stop
 from stopline.operators.quality import completeness, expected_tables
 from stopline.operators.ranking import named_lists
 from stopline.period import Period
+from stopline.plans.rolling import day_counts, keep_day_counts, landed_schema
 from stopline.schemas import (
     DOCUMENT_SCHEMA,
     FEED_DATE,
     FEED_MANIFEST,
     LANDED_TABLES,
     LIST_SIZE,
-    SUMMARY_COLUMNS,
     SUMMARY_TABLES,
 )
 from stopline.sinks.landing import land, landed_records, present_days, read_landed
@@ -41,8 +40,30 @@ def summary_document(tables: Mapping[str, DataFrame], period: Period, k: int = L
     """
     per_stop = visits_per_stop(tables["stop_times"], period.num_days)
     per_route = trips_per_route(tables["trips"])
-
     small = table_counts({name: tables[name] for name in ("agency", "routes", "stops")})
+    return _document(small, per_stop, per_route, tables["stops"], period, k, None)
+
+
+def lake_document(spark: SparkSession, lake: str, period: Period, k: int = LIST_SIZE) -> DataFrame:
+    """The same document of landed tables, with the days that each of them has.
+
+    Visits and trips come from the counts of their days (:mod:`stopline.plans.rolling`), so facts are read for days that have
+    none yet, and the counts and days of the other tables from their manifests.
+    """
+    keep_day_counts(spark, lake, period)
+    records = {name: landed_records(spark, f"{lake.rstrip('/')}/{name}", period) for name in SUMMARY_TABLES}
+    small = spark.createDataFrame(
+        [(name, sum(records[name].values())) for name in ("agency", "routes", "stops")], "table_name STRING, n_records BIGINT"
+    )
+    per_stop = visits_from_days(day_counts(spark, lake, "stop_times", period), period.num_days)
+    per_route = merged_days(day_counts(spark, lake, "trips", period), "route_id", "trip_count")
+    days = {name: len(found) for name, found in records.items()}
+    return _document(small, per_stop, per_route, landed_table(spark, lake, "stops", period), period, k, days)
+
+
+def _document(
+    small: DataFrame, per_stop: DataFrame, per_route: DataFrame, stops: DataFrame, period: Period, k: int, days: Mapping[str, int] | None
+) -> DataFrame:
     totals = [
         grouped.agg(F.coalesce(F.sum(column), F.lit(0)).alias("n_records")).withColumn("table_name", F.lit(name))
         for name, grouped, column in (
@@ -52,13 +73,14 @@ def summary_document(tables: Mapping[str, DataFrame], period: Period, k: int = L
     ]
     counted = reduce(DataFrame.unionByName, totals, small)
 
-    lists = named_lists(per_stop, tables["stops"], k).select(
+    lists = named_lists(per_stop, stops, k).select(
         "list_name",
         F.struct("rank", *[F.col(name).cast(_stop_type(name)).alias(name) for name in _STOP_FIELDS]).alias("entry"),
     )
     stats = route_stats(per_route).select(F.struct("*").alias("route_stats"))
 
     parts = counted.unionByName(lists, allowMissingColumns=True).unionByName(stats, allowMissingColumns=True)
+    loaded = F.lit(None) if days is None else F.struct(*[F.lit(days[name]).alias(name) for name in SUMMARY_TABLES])
     return parts.agg(
         F.struct(*[_count_of(name).alias(name) for name in SUMMARY_TABLES]).alias("counts"),
         _list_of("top_stops").alias("top_stops"),
@@ -70,7 +92,8 @@ def summary_document(tables: Mapping[str, DataFrame], period: Period, k: int = L
             F.lit(period.end.isoformat()).alias("end_date"),
             F.lit(period.num_days).alias("num_days"),
         ).alias("period"),
-        *[name for name in DOCUMENT_SCHEMA.names if name != "period"],
+        *[name for name in DOCUMENT_SCHEMA.names if name not in ("period", "days_loaded")],
+        loaded.cast(DOCUMENT_SCHEMA["days_loaded"].dataType).alias("days_loaded"),
     )
 
 
@@ -120,11 +143,11 @@ def _to_land(spark: SparkSession, lake: str, period: Period, landed_days: str) -
 
 def landed_tables(spark: SparkSession, lake: str, period: Period) -> dict[str, DataFrame]:
     """The summary tables of the days of a period, with just the columns a summary uses."""
-    tables = {}
-    for table, columns in SUMMARY_COLUMNS.items():
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in columns]).add(FEED_DATE, T.DateType())
-        tables[table] = read_landed(spark, f"{lake.rstrip('/')}/{table}", period, schema)
-    return tables
+    return {table: landed_table(spark, lake, table, period) for table in SUMMARY_TABLES}
+
+
+def landed_table(spark: SparkSession, lake: str, table: str, period: Period) -> DataFrame:
+    return read_landed(spark, f"{lake.rstrip('/')}/{table}", period, landed_schema(table))
 
 
 def lake_completeness(
@@ -151,17 +174,19 @@ def run_summary(
     made_at: datetime,
     k: int = LIST_SIZE,
     allow_gaps: bool = False,
+    days_in_report: bool = False,
 ) -> DataFrame:
     """Summarise landed tables, write document and report, and return the saved document.
 
-    A day that a table lacks would only make its averages smaller, so it is an error unless gaps are allowed.
+    A day that a table lacks would only make its averages smaller, so it is an error unless gaps are allowed. The document
+    says how many days each table has; the report does if asked.
     """
     for table in SUMMARY_TABLES if not allow_gaps else ():
         there = present_days(spark, f"{lake.rstrip('/')}/{table}")
         if gaps := [day.isoformat() for day in period if day not in there]:
             raise ValueError(f"{table} has no rows of {', '.join(gaps)}")
     path = result_path(output, made_at, "json")
-    write_document(summary_document(landed_tables(spark, lake, period), period, k), path)
+    write_document(lake_document(spark, lake, period, k), path)
     document = read_document(spark, path)
-    write_report(report_lines(document, made_at, k), result_path(output, made_at, "txt"))
+    write_report(report_lines(document, made_at, k, days_in_report), result_path(output, made_at, "txt"))
     return document

@@ -85,5 +85,7 @@ DOCUMENT_SCHEMA = T.StructType(
                 ]
             ),
         ),
+            # Days of the period that each table has, where that is known: tables landed in a lake.
+        T.StructField("days_loaded", T.StructType([T.StructField(name, T.LongType()) for name in SUMMARY_TABLES])),
     ]
 )

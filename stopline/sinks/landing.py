@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from datetime import date
 from uuid import uuid4
 
@@ -68,7 +68,17 @@ def read_landed(
     find columns that only some days have.
     """
     known = entries(spark, path)
-    asked = [e for e in known if period is None or (e.day and period.start <= e.date <= period.end)]
+    rows = _read(spark, path, known, [e for e in known if period is None or (e.day and period.start <= e.date <= period.end)], schema)
+    return rows if period is None else rows.filter(period.has_day(rows[FEED_DATE]))
+
+
+def read_landed_days(spark: SparkSession, path: str, days: Collection[date], schema: T.StructType | str) -> DataFrame:
+    """The same for days that need not follow each other."""
+    known = entries(spark, path)
+    return _read(spark, path, known, [e for e in known if e.date in days], schema)
+
+
+def _read(spark: SparkSession, path: str, known: list[Landed], asked: list[Landed], schema: T.StructType | str | None) -> DataFrame:
     live = [e for e in asked if e.live]
     if not live:
         if schema is not None:
@@ -81,7 +91,7 @@ def read_landed(
     rows = _files(reader, path, [e.day for e in live], landings)
     if replaced := [e for e in asked if not e.live and e.landing in landings]:  # their landing still counts for other days
         rows = rows.filter(~F.concat_ws(" ", F.col(FEED_DATE).cast("string"), _landing_of()).isin([f"{e.day} {e.landing}" for e in replaced]))
-    return rows if period is None else rows.filter(period.has_day(rows[FEED_DATE]))
+    return rows
 
 
 def present_days(spark: SparkSession, path: str) -> set[date]:

@@ -30,6 +30,14 @@ ROUTES = "Route Statistics:"
 TOTAL_ROUTES = "- Total unique routes: "
 AVERAGE_TRIPS = "- Average trips per route: "
 NO_AVERAGE = "n/a"
+DAYS_LOADED = "Days Loaded:"
+DAY_LABELS = {
+    "agency": "- Agency: ",
+    "routes": "- Routes: ",
+    "stops": "- Stops: ",
+    "trips": "- Trips: ",
+    "stop_times": "- Stop times: ",
+}
 WIDE_RULE = "=" * 50
 LIST_RULE = "-" * 50
 ROUTE_RULE = "-" * 30
@@ -38,8 +46,11 @@ FILE_TIME_FORMAT = "%Y%m%d_%H%M%S"
 FILE_STEM = "gtfs_summary_"
 
 
-def report_lines(document: DataFrame, made_at: datetime, k: int = LIST_SIZE) -> DataFrame:
-    """``(line_no, section, line)`` of the text report, from the one-row result document."""
+def report_lines(document: DataFrame, made_at: datetime, k: int = LIST_SIZE, with_days: bool = False) -> DataFrame:
+    """``(line_no, section, line)`` of the text report, from the one-row result document.
+
+    ``with_days`` adds a last section with the days that each table has.
+    """
     sections = {
         "title": [F.lit(TITLE + made_at.strftime(TIME_FORMAT)), F.lit(WIDE_RULE)],
         "period": [
@@ -60,6 +71,12 @@ def report_lines(document: DataFrame, made_at: datetime, k: int = LIST_SIZE) ->
             ),
         ],
     }
+    if with_days:
+        known = [
+            F.concat(F.lit(label), F.coalesce(F.col(f"days_loaded.{name}").cast("string"), F.lit(NO_AVERAGE)))
+            for name, label in DAY_LABELS.items()
+        ]
+        sections["days"] = [F.lit(DAYS_LOADED), F.lit(ROUTE_RULE), *known]
     parts = []
     for at, (section, lines) in enumerate(sections.items()):
         if section.endswith("_stops"):
