@@ -61,6 +61,21 @@ def csv_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def csv_feed_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as daily CSV feeds whose header changes on the way: other column order, one column more."""
+    rows = feed_csv.read_feed_period(spark, _changing_feed(spark, sf_dir), EVENT_PERIOD, "", **_DAY_FOLDERS)
+    return rows.select(FEED_DATE, "event_id", "user_id", "event_type", "value")
+
+
+@query
+def csv_feed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feeds, the days of each header scanned together."""
+    rows = feed_csv.read_feed_history(spark, _changing_feed(spark, sf_dir), EVENT_PERIOD, "", optional=True, **_DAY_FOLDERS)
+    return rows.select(FEED_DATE, "event_id", "user_id", "event_type", "value")
+
+
+_DAY_FOLDERS = {"day_directory": f"{FEED_DATE}=%Y-%m-%d", "table_file": ""}
+
+
+def _changing_feed(spark: SparkSession, sf_dir: str) -> str:
     root = run_folder(spark, "csv-period")
     events = roles.table(spark, sf_dir, "events").withColumn(FEED_DATE, F.to_date("ts"))
     first_half = FORTNIGHT.has_time(events.ts)
@@ -68,10 +83,7 @@ def csv_feed_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = events.filter(~first_half).select(FEED_DATE, "event_type", "value", "user_id", "event_id")
     for part in (early, late):
         part.hint("rebalance", FEED_DATE).write.partitionBy(FEED_DATE).options(**feed_csv.CSV_OPTIONS).mode("append").csv(root)
-    rows = feed_csv.read_feed_period(
-        spark, root, EVENT_PERIOD, "", day_directory=f"{FEED_DATE}=%Y-%m-%d", table_file=""
-    )
-    return rows.select(FEED_DATE, "event_id", "user_id", "event_type", "value")
+    return root
 
 
 @query

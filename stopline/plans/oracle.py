@@ -264,3 +264,4 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE["report_file"] = f"SELECT line, count(*) AS n_lines FROM ({ORACLE['report_lines']}) GROUP BY line"
+ORACLE["csv_feed_history"] = ORACLE["csv_feed_period"]

@@ -26,7 +26,7 @@ from stopline.sinks.landing import land, landed_records, present_days, read_land
 from stopline.sinks.reports import report_lines, result_path, write_document, write_report
 from stopline.sources.archives import archive_path, open_archives
 from stopline.sources.documents import read_document
-from stopline.sources.feed_csv import read_feed_period
+from stopline.sources.feed_csv import read_feed_history
 
 _STOP_FIELDS = DOCUMENT_SCHEMA["top_stops"].dataType.elementType.names
 
@@ -113,7 +113,7 @@ def _list_of(name: str):
 def land_feeds(spark: SparkSession, feed_root: str, lake: str, period: Period, landed_days: str = "keep") -> None:
     """Land all columns of the tables of each day's CSV directory under ``lake``; those a summary uses must be there."""
     for table, path, days in _to_land(spark, lake, period, landed_days):
-        rows = read_feed_period(spark, feed_root, days, table, optional=table not in SUMMARY_TABLES)
+        rows = read_feed_history(spark, feed_root, days, table, optional=table not in SUMMARY_TABLES)
         if rows is not None:
             land(rows, path, landed_days, day_by_day=True)
 

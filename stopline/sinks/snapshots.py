@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping
 from dataclasses import astuple, dataclass
 from datetime import date
+from multiprocessing.pool import ThreadPool
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
@@ -20,6 +21,9 @@ from pyspark.sql import types as T
 # Beside the days; readers of Parquet pass over names with an underscore.
 _MANIFESTS = "_landed"
 
+# Questions to a store that are under way at a time.
+_AT_ONCE = 16
+
 # Manifests that stay behind the newest, for readers that have begun with one of them.
 _KEPT = 20
 
@@ -85,10 +89,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _FileSystem(spark, path).exists(path)
 
 
-def existing(spark: SparkSession, paths: Collection[str]) -> set[str]:
-    """Those of many paths on one store that are there."""
-    files = _FileSystem(spark, next(iter(paths))) if paths else None
-    return {p for p in paths if files.exists(p)}
+def files_of(spark: SparkSession, paths: Collection[str]) -> dict[str, list[tuple[str, str]]]:
+    """The files at or right below many paths of one store, as name and URI, without those whose names begin with ``_`` or ``.``.
+
+    Paths that do not exist are left out. The driver asks the store, as Spark does for the tables it reads.
+    """
+    if not paths:
+        return {}
+    store = _FileSystem(spark, next(iter(paths)))
+    with ThreadPool(_AT_ONCE) as pool:
+        found = pool.map(store.files, paths)
+    return {path: files for path, files in zip(paths, found, strict=True) if files is not None}
 
 
 def _newest(spark: SparkSession, path: str) -> tuple[int, list[Landed]]:
@@ -114,6 +125,16 @@ class _FileSystem:
     def exists(self, path: str) -> bool:
         return self.store.exists(self._path(path))
 
+    def files(self, path: str) -> list[tuple[str, str]] | None:
+        try:
+            listed = self.store.listStatus(self._path(path))
+        except Py4JJavaError as error:
+            if error.java_exception.getClass().getSimpleName() == "FileNotFoundException":
+                return None
+            raise
+        named = [(p.toString(), p.toUri().toString()) for p in (s.getPath() for s in listed if s.isFile())]
+        return [(name, uri) for name, uri in named if name.rpartition("/")[2][:1] not in "_."]
+
     def numbers(self, folder: str) -> list[int]:
         if not self.exists(folder):
             return []

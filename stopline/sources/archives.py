@@ -19,7 +19,6 @@ import zipfile
 from collections.abc import Callable, Collection, Iterator, Sequence
 from datetime import date, datetime
 from itertools import chain, islice
-from urllib.parse import quote
 from weakref import WeakSet
 
 import pyarrow as pa
@@ -30,13 +29,11 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from stopline.schemas import FEED_DATE
 from stopline.scratch import run_folder
+from stopline.sources.storage import can_open, lines_of, open_storage
 
 # Fixed value: how the archive of a day is named.
 ARCHIVE_FILE = "sweden-%Y%m%d.zip"
 
-# Stores that a task can open by itself; the second name is the one it uses.
-STREAMED = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
-
 # Different headers that the archives of one table may have.
 MAX_HEADERS = 1000
 
@@ -216,7 +213,7 @@ class _MemberReader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         place = partition.value
-        with _open_storage(place["archive"]) as file, _member_at(file, place) as stream:
+        with open_storage(place["archive"]) as file, _member_at(file, place) as stream:
             yield from map(_batch, _read_rows(place["archive"], place["member"], stream))
 
 
@@ -237,13 +234,7 @@ def _zip_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, path: str | list[str]) -> bool:
-    return all(_scheme(spark, p) in STREAMED for p in ([path] if isinstance(path, str) else path))
-
-
-def _scheme(spark: SparkSession, path: str) -> str:
-    """The store of a path; one without scheme is on the session's default store."""
-    named = re.match(r"([a-zA-Z][a-zA-Z0-9+.-]*):", path)
-    return (named[1] if named else spark.conf.get("spark.hadoop.fs.defaultFS", "file:///").partition(":")[0]).lower()
+    return all(can_open(spark, p) for p in ([path] if isinstance(path, str) else path))
 
 
 def _from_content(unpack: Unpack):
@@ -265,7 +256,7 @@ def _loaded(batches: Batches) -> Iterator[tuple[str, zipfile.ZipFile]]:
 def _list_members(batches: Batches) -> Batches:
     for batch in batches:
         for path in batch["path"].to_pylist():
-            with _open_storage(path) as file, zipfile.ZipFile(file) as archive:
+            with open_storage(path) as file, zipfile.ZipFile(file) as archive:
                 members = _members(archive)
             yield _batch({"path": pa.repeat(path, len(members)), "member": pa.array(members, pa.string())})
 
@@ -274,7 +265,7 @@ def _find_members(tables: Sequence[str], optional: Collection[str]):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for path in batch["path"].to_pylist():
-                with _open_storage(path) as file, zipfile.ZipFile(file) as archive:
+                with open_storage(path) as file, zipfile.ZipFile(file) as archive:
                     found = [_place(archive, path, table, entry) for table, entry in _tables_in(archive, path, tables, optional)]
                 yield pa.RecordBatch.from_pylist(found, schema=_PLACES_ARROW)
 
@@ -285,7 +276,7 @@ def _place(archive: zipfile.ZipFile, path: str, table: str, entry: zipfile.ZipIn
     if entry.flag_bits & 1:
         raise ValueError(f"{entry.filename} of {path} is encrypted")
     with archive.open(entry) as stream:
-        header = next(_text(stream), None)
+        header = next(lines_of(stream), None)
     return dict(zip(_PLACES.names, (table, path, entry.filename, header, entry.header_offset, entry.compress_type, entry.compress_size, entry.file_size, entry.CRC), strict=True))
 
 
@@ -298,7 +289,7 @@ def _all_lines(tables: Sequence[str], optional: Collection[str]):
             day = pa.scalar(_archive_day(path), pa.date32())
             for table, entry in _tables_in(archive, path, tables, optional):
                 with archive.open(entry) as stream:
-                    header = next(_text(stream), None)
+                    header = next(lines_of(stream), None)
                 first = {FEED_DATE: pa.repeat(day, 1), "header": pa.array([header], pa.string()), "line": pa.array([None], pa.string())}
                 with archive.open(entry) as stream:
                     for rows in chain([first], _read_rows(path, entry.filename, stream)):
@@ -311,23 +302,12 @@ def _from_storage(unpack: Unpack):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for row in batch.to_pylist():
-                with _open_storage(row["path"]) as file, zipfile.ZipFile(file) as archive:
+                with open_storage(row["path"]) as file, zipfile.ZipFile(file) as archive:
                     yield from _unpack_member(archive, row["path"], row["member"], unpack)
 
     return run
 
 
-def _open_storage(path: str):
-    """A file that can be read from any position, on whatever store the path names."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
-    scheme, rest = path.split(":", 1)
-    store, inner = fs.FileSystem.from_uri(quote(f"{STREAMED[scheme.lower()]}:{rest}", safe=":/@"))
-    return store.open_input_file(inner)
-
-
 def _members(archive: zipfile.ZipFile) -> list[str]:
     return [entry.filename for entry in archive.infolist() if not entry.is_dir()]
 
@@ -371,18 +351,9 @@ def _read_lines(path: str, member: str, stream: zipfile.ZipExtFile) -> Iterator[
         start += len(lines)
 
 
-def _text(stream: zipfile.ZipExtFile) -> Iterator[str]:
-    """Lines without their ends, and without those of blanks only, which Spark's CSV source passes over too."""
-    lines = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace")
-    return (line.removesuffix("\n") for line in lines if line.strip(_TRIMMED))
-
-
-_TRIMMED = "".join(map(chr, range(33)))
-
-
 def _read_rows(path: str, member: str, stream: zipfile.ZipExtFile) -> Iterator[dict[str, pa.Array]]:
     # The day and the header are the same for a whole member: cheaper to repeat than to take from the path of each row.
-    day, text = pa.scalar(_archive_day(path), pa.date32()), _text(stream)
+    day, text = pa.scalar(_archive_day(path), pa.date32()), lines_of(stream)
     header = next(text, None)
     while lines := list(islice(text, _LINES_AT_ONCE)):
         yield {FEED_DATE: pa.repeat(day, len(lines)), "header": pa.repeat(header, len(lines)), "line": pa.array(lines, pa.string())}

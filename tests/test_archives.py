@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stopline.period import Period
 from stopline.sinks.landing import land, read_landed
-from stopline.sources import archives
+from stopline.sources import archives, storage
 from stopline.sources.feed_csv import read_feed_period
 
 
@@ -23,7 +23,7 @@ def root(tmp_path_factory):
 def way(request, monkeypatch):
     """Both ways of reading: archives loaded whole, and members read from storage."""
     if request.param == "content":
-        monkeypatch.setattr(archives, "STREAMED", {})
+        monkeypatch.setattr(storage, "STREAMED", {})
 
 
 def test_lines(spark, root, way):
@@ -153,8 +153,8 @@ def test_an_archive_is_opened_once_for_all_tables(root, monkeypatch):
     import pyarrow as pa
 
     opened = []
-    storage, zip_file = archives._open_storage, zipfile.ZipFile
-    monkeypatch.setattr(archives, "_open_storage", lambda path: opened.append(path) or storage(path))
+    real, zip_file = archives.open_storage, zipfile.ZipFile
+    monkeypatch.setattr(archives, "open_storage", lambda path: opened.append(path) or real(path))
     paths = [f"file:{root}/sweden-{day}.zip" for day in minifeed.DAYS]
     batch = pa.RecordBatch.from_pydict({"path": paths})
     tables = ["agency", "routes", "stops", "trips", "stop_times", "calendar"]

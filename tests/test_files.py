@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +122,51 @@ def test_byte_order_mark_quotes_blanks_and_unnamed_columns(spark, tmp_path):
     assert frame.select("stop_id").count() == frame.count() == 2
 
 
+@pytest.mark.parametrize("name", ["feed", "Åre 100% #1"])
+def test_days_of_one_header_are_scanned_together(spark, tmp_path, name):
+    root = tmp_path / name
+    for i in range(12):
+        header, row = (("stop_id,stop_name", f"{i},x"), ("stop_name,stop_id,zone", f'"x, ""y""",{i},z'))[i % 2]
+        day_file(root, f"\ufeff{header}\n{row}\n\n" if i % 3 else f"\n{header}\n{row}\n", day=f"202510{i + 1:02d}")
+    day_file(root, "", day="20251013")
+    day_file(root, "stop_id,stop_name\n", day="20251014")
+    for part in range(3):
+        day_file(root, f"stop_id,stop_name\n15-{part},x\n", f"stops.txt/part-{part}.csv", day="20251015")
+    (root / "sweden-20251015/stops.txt/_SUCCESS").write_text("")
+    period = Period.parse("2025-10-01", "2025-10-15")
+    history, each = (read(spark, str(root), period, "stops") for read in (feed_csv.read_feed_history, feed_csv.read_feed_period))
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2 and set(history.columns) == set(each.columns)
+    each = each.select(history.columns)
+    assert history.count() == 15 and history.exceptAll(each).count() == each.exceptAll(history).count() == 0
+    longer = Period.parse("2025-10-10", "2025-10-16")
+    with pytest.raises(FileNotFoundError, match="PATH_NOT_FOUND"):
+        feed_csv.read_feed_history(spark, str(root), longer, "stops")
+    assert feed_csv.read_feed_history(spark, str(root), longer, "stops", optional=True).count() == 6
+    assert feed_csv.read_feed_history(spark, str(root), longer, "shapes", optional=True) is None
+
+
+def test_history_with_parts_of_another_header_fails_and_unnamed_columns_are_read(spark, tmp_path):
+    day_file(tmp_path, "stop_id,stop_name\n1,x\n", "stops.txt/part-0.csv")
+    day_file(tmp_path, "stop_name,stop_id\nx,2\n", "stops.txt/part-1.csv")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        feed_csv.read_feed_history(spark, str(tmp_path), DAY, "stops").collect()
+    day_file(tmp_path, "stop_id,,stop_id\n1,2,3\n", "trips.txt")
+    assert sorted(feed_csv.read_feed_history(spark, str(tmp_path), DAY, "trips").columns) == sorted(feed_csv.read_feed_period(spark, str(tmp_path), DAY, "trips").columns)
+
+
+def test_two_years_of_days_are_planned_quickly(spark, tmp_path):
+    period = Period.parse("2024-01-01", "2025-12-30")
+    for day in period:
+        day_file(tmp_path, "trip_id,stop_id\n1,2\n" if day.day % 2 else "stop_id,trip_id\n2,1\n", day=f"{day:%Y%m%d}")
+    feed_csv.read_feed_history(spark, str(tmp_path), DAY, "stops")  # workers are there
+    start = time.perf_counter()
+    rows = feed_csv.read_feed_history(spark, str(tmp_path), period, "stops")
+    assert time.perf_counter() - start < 20  # 3 to 5 seconds where nothing else runs
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+    assert rows.groupBy("trip_id", "stop_id").count().collect() == [("1", "2", 730)]
+
+
 def test_dataset_path():
     assert dataset_path("/data/", DAY.start) == "/data/2025-10/gtfs"
     assert dataset_path("/data", DAY.start, "analytics") == "/data/2025-10/analytics"
