@@ -46,6 +46,19 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def carrying(documents: DataFrame, run: Callable[[DataFrame], DataFrame], *added: str) -> DataFrame:
+    """``run`` of documents whose columns that begin with ``_`` have other names meanwhile: helper columns begin so.
+
+    Documents that already have a column which ``run`` is there to add are refused.
+    """
+    own = [c for c in documents.columns if c.startswith("_")]
+    if clash := sorted(set(map(str.lower, own)) & set(added)):
+        raise ValueError(f"the documents already have columns named {', '.join(clash)}")
+    free = (n for i in range(10**6) if (n := f"carried {i}") not in documents.columns)
+    names = dict(zip(own, free, strict=False))
+    return run(documents.withColumnsRenamed(names)).withColumnsRenamed({n: c for c, n in names.items()})
+
+
 def small(saved: DataFrame, held: str | None = None) -> DataFrame:
     """Marks a saved table for broadcast if it has been counted to be small; otherwise a join shuffles it.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopline.llm.common import ascii_lower, cut, let, small, text_key, words_of
+from stopline.llm.common import ascii_lower, carrying, cut, let, small, text_key, words_of
 
 #: Words of a window, and of the k-grams that are hashed in it.
 WINDOW, GRAM = 13, 5
@@ -137,6 +137,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
+    return carrying(documents, lambda rows: _clean_documents(rows, benchmark))
+
+
+def _clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = cut(contamination(documents, benchmark).filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
     named = documents.withColumn("_text_key", text_key(F.col("text")))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stopline.llm.common import BLANKS, cut, let, small, text_key
+from stopline.llm.common import BLANKS, carrying, cut, let, small, text_key
 
 #: Lines with fewer words are compared as wholes, or by their signs: one word is too much of them.
 MIN_WORDS = 5
@@ -159,6 +159,10 @@ def without_repeated_lines(documents: DataFrame, signs: int | None = None) -> Da
     ordered by doc_id (null first), a hash of the text, and place in the text; each is judged on the input. Blank lines
     stay. Null texts stay null; rows that agree in doc_id and text are one document and keep the same lines.
     """
+    return carrying(documents, lambda rows: _without_repeated_lines(rows, signs), "_lines_before", "_lines_after")
+
+
+def _without_repeated_lines(documents: DataFrame, signs: int | None) -> DataFrame:
     contents = line_contents(documents, signs)
     doubtful = contents.filter("near or times > 1").select("c1", "c2", "place", "near")
     places = _lines(documents, *_content()).drop("norm")

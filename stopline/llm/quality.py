@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopline.llm.common import cut
+from stopline.llm.common import carrying, cut
 
 #: A line is removed from a host's documents if more than so many of them have it.
 MAX_DOCUMENTS = 10
@@ -112,6 +112,14 @@ def without_frequent_lines(documents: DataFrame, max_documents: int = MAX_DOCUME
     the documents' lines in a join that Spark may split on skew. Texts travel to their document's lines only if ``text`` is
     asked for.
     """
+    return carrying(documents, lambda rows: _without_frequent_lines(rows, max_documents, max_removed), *TOLD)
+
+
+#: What is told of each document.
+TOLD = [f"_{c}" for c in (*COUNTS, "base_failed", "kept", "n_frequent_words")]
+
+
+def _without_frequent_lines(documents: DataFrame, max_documents: int, max_removed: float) -> DataFrame:
     host = F.coalesce("source", F.lit(""))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), host.alias("host"), F.xxhash64("text").alias("text_key"), "text")
     keys = ["doc_id", "host", "text_key"]
@@ -141,12 +149,11 @@ def without_frequent_lines(documents: DataFrame, max_documents: int = MAX_DOCUME
     )
     named = documents.withColumns({"_row_doc_id": F.col("doc_id").cast("long"), "_row_host": host, "_row_text_key": F.xxhash64("text")})
     joined = named.join(judged, same("_row_", "_its_"))
-    told = [f"_{c}" for c in (*COUNTS, "base_failed", "kept", "n_frequent_words")]
     text = _cleared("text", "_gone").alias("text")
-    return joined.select(*(text if c == "text" else joined[c] for c in documents.columns), *told)
+    return joined.select(*(text if c == "text" else joined[c] for c in documents.columns), *TOLD)
 
 
 def rated(documents: DataFrame, max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED) -> DataFrame:
     """What ``without_frequent_lines`` tells of each document, without the documents."""
-    rows = without_frequent_lines(documents, max_documents, max_removed)
+    rows = without_frequent_lines(documents.select("doc_id", "text", "source"), max_documents, max_removed)
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(f"_{c}").alias(c) for c in (*COUNTS, "base_failed", "kept", "n_frequent_words")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopline.llm.common import running
+from stopline.llm.common import carrying, running
 
 SHARDS = 16
 
@@ -19,12 +19,13 @@ def sharded(documents: DataFrame, count: int = SHARDS) -> DataFrame:
     documents of a shard from 0. Rows that agree in id, checksum and size follow each other in any order; a number that
     tells them apart lets them spread over tasks. No rows give no shards.
     """
-    return _placed(_sized(documents), count).select(*documents.columns, "_size", "_text_crc32", "_shard", "_slot")
+    added = "_size", "_text_crc32", "_shard", "_slot"
+    return carrying(documents, lambda rows: _placed(_sized(rows), count).select(*(f"`{c}`" for c in rows.columns), *added), *added)
 
 
 def shards(documents: DataFrame, count: int = SHARDS) -> DataFrame:
     """``(doc_id, size, text_crc32, shard, slot)`` of ``sharded`` documents, for which no texts travel."""
-    placed = _placed(_sized(documents).select("doc_id", "_order", "_size", "_text_crc32"), count)
+    placed = _placed(_sized(documents.select("doc_id", "text")).select("doc_id", "_order", "_size", "_text_crc32"), count)
     return placed.select("doc_id", *(F.col(f"_{c}").alias(c) for c in ("size", "text_crc32", "shard", "slot")))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stopline.llm.common import components, cut
+from stopline.llm.common import carrying, components, cut
 
 SHINGLE = 3
 SEED = 42
@@ -76,6 +76,10 @@ def near_copies(documents: DataFrame) -> DataFrame:
 
 def without_near_copies(documents: DataFrame) -> DataFrame:
     """The documents with all their columns, one of each component: the one with the smallest doc_id (of null ids, any)."""
+    return carrying(documents, _without_near_copies)
+
+
+def _without_near_copies(documents: DataFrame) -> DataFrame:
     kept = (
         near_copies(documents)
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))

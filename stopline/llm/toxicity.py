@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,16 +18,14 @@ from stopline.llm.common import cut
 
 #: Labelled documents that are learned from, at most; which ones, a hash of the id decides.
 SAMPLE = 16_000
-#: Abusive words to begin with; others are learned (fixed values).
-INSULTS = "idiot moron loser scum trash clown pathetic worthless stupid disgusting".split()
 #: Lexicon voters, and words and stems in each.
 LEXICONS, ENTRIES = 24, 8
 #: Words and stems of the classifier, and documents that one must be in.
 VOCABULARY, LEAST_DOCUMENTS = 5_000, 4
 #: How surely a word must mark toxic documents to be in a lexicon, were there as many of them as of others.
 PRECISION = 0.98
-#: The accuracy that given labels are known to have; the other voters' is estimated.
-GIVEN = 0.98
+#: Partitions of the sample while the classifier is fitted to it.
+FIT_PARTITIONS = 6
 STEMS = (4, 5, 6)
 REGULARITY = 1e-4
 _WORD = re.compile(r"[^\W\d_]+")
@@ -39,7 +36,6 @@ PATTERNS = (
     (re.compile(r"\b(?:[A-Z]{3,}\W+){4,}"), True),
     (re.compile(r"(\w)\1{4,}"), True),
     (re.compile(r"\b(?:shut up|get lost|hate you)\b", re.I), True),
-    (re.compile(r"\b(?:license|licensed|copyright)\b", re.I), False),
 )
 
 
@@ -83,17 +79,14 @@ class LabelModel:
         score = np.log(self.prior / (1 - self.prior)) + self._evidence(votes)
         return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
 
-    def fit(self, votes: np.ndarray, start: np.ndarray, given: int | None = None, rounds: int = 20) -> LabelModel:
-        """``start``: a first guess of the labels' chances, between 0 and 1; ``given``: the voter whose accuracy is known."""
+    def fit(self, votes: np.ndarray, start: np.ndarray, rounds: int = 20) -> LabelModel:
+        """``start``: a first guess of the labels' chances, between 0 and 1."""
         n, m = votes.shape
         kinds = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
         weight = start
         for _ in range(rounds):
             both = np.stack([1 - weight, weight])
             self.chances = (np.einsum("yn,nmv->myv", both, kinds) + 0.5) / (both.sum(1)[None, :, None] + 1.5)
-            if given is not None:
-                self.chances[given] = [[GIVEN, 0.0, 1 - GIVEN], [1 - GIVEN, 0.0, GIVEN]]
-                self.chances[given] += 1e-6
             self.prior = float(np.clip(weight.mean(), 1e-3, 1 - 1e-3))
             expected = np.einsum("yn,myv,v->nm", both, self.chances, np.array([-1.0, 0.0, 1.0]))
             rest = votes - expected
@@ -106,26 +99,37 @@ class LabelModel:
         return self
 
 
-def _lexicons(rows: pd.DataFrame) -> list[list[str]]:
-    """Groups of words and stems that mark toxic documents of the sample, the strongest first, dealt out in turn."""
-    inside, outside = Counter(), Counter()
-    for found, toxic in zip(rows["features"], rows["toxic"], strict=True):
-        (inside if toxic else outside).update(found)
-    n, m = max(1, int(rows["toxic"].sum())), max(1, int((1 - rows["toxic"]).sum()))
-    sure = {f: c for f, c in inside.items() if c >= 2 * LEAST_DOCUMENTS and c / n > PRECISION / (1 - PRECISION) * outside[f] / m}
-    best = sorted(sure, key=lambda f: (-sure[f], f))[: (LEXICONS - 1) * ENTRIES]
-    return [INSULTS, *([best[i::LEXICONS - 1] for i in range(LEXICONS - 1)] if best else [])]
+def _lexicons(counts: dict[str, tuple[int, int]], toxic: int, others: int) -> list[list[str]]:
+    """Groups of words and stems that mark toxic documents of the sample, the strongest first, dealt out in turn.
+
+    ``counts``: of each word the toxic documents that have it, and the others.
+    """
+    n, m = max(1, toxic), max(1, others)
+    sure = {f: c for f, (c, rest) in counts.items() if c >= 2 * LEAST_DOCUMENTS and c / n > PRECISION / (1 - PRECISION) * rest / m}
+    best = sorted(sure, key=lambda f: (-sure[f], f))[: LEXICONS * ENTRIES]
+    return [best[i::LEXICONS] for i in range(LEXICONS)] if best else []
+
+
+def _voted(lexicons: list[list[str]]) -> Callable[[Column, Column, Column], Column]:
+    """A vote for each lexicon (for where a word is found, else none), pattern, for no lexicon word at all, and the label."""
+
+    @F.pandas_udf(T.ArrayType(T.ByteType()))
+    def votes(features: pd.Series, patterns: pd.Series, toxic: pd.Series) -> pd.Series:
+        made = []
+        for found, signs, label in zip(features, patterns, toxic, strict=True):
+            found = set(found)
+            words = [int(not found.isdisjoint(lexicon)) for lexicon in lexicons]
+            seen = [int(here) * (1 if abuse else -1) for here, (_, abuse) in zip(signs, PATTERNS, strict=True)]
+            made.append(np.array([*words, *seen, -(not any(words)), 2 * int(label) - 1], np.int8))
+        return pd.Series(made, dtype=object)
+
+    return votes
 
 
-def _votes(rows: pd.DataFrame, lexicons: list[list[str]]) -> np.ndarray:
-    """A column for each lexicon (for where a word is found, else none), pattern, for no lexicon word at all, and the label."""
-    found = [set(x) for x in rows["features"]]
-    words = np.array([[int(not s.isdisjoint(lexicon)) for lexicon in lexicons] for s in found], np.int64).reshape(len(rows), len(lexicons))
-    signs = np.array([1 if toxic else -1 for _, toxic in PATTERNS])
-    patterns = np.array(rows["patterns"].tolist(), np.int64).reshape(len(rows), len(PATTERNS)) * signs
-    nothing = -(words.sum(1, keepdims=True) == 0).astype(np.int64)
-    given = (2 * rows["toxic"].to_numpy(np.int64) - 1)[:, None]
-    return np.concatenate([words, patterns, nothing, given], axis=1)
+def first_guess(votes: np.ndarray, lexicons: int) -> np.ndarray:
+    """Where the label model begins: likely toxic if any lexicon votes, the more so the more do. The given label has no say."""
+    found = (votes[:, :lexicons] > 0).sum(1)
+    return np.where(found == 0, 0.05, 1 - 0.5 ** (found + 1.0))
 
 
 @dataclass(frozen=True)
@@ -156,15 +160,17 @@ def held_out(doc_id: Column) -> Column:
 def learned(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     """A classifier learned from at most ``sample`` labelled documents that are not held out.
 
-    The words and patterns vote, and so does the given label; the label model's posterior is what the classifier is fitted to,
+    Lexicons (learned from these documents), patterns and the given label vote. How far each can be trusted, the given label
+    too, is estimated, beginning with what the lexicons say. The label model's posterior is what the classifier is fitted to,
     each document once as toxic and once as not, weighed by it. Without any labelled document, or with labels of one kind
     only, every text gets that kind's score: 0, or 1 if all are toxic. Null labels are no labels; of several labels of one
-    document the greatest counts, and of repeated documents one.
+    document the greatest counts, and of documents with one id the one whose text has the least hash.
     """
     marked = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     marked = marked.filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     marked = F.broadcast(marked.select(F.col("doc_id").alias("_id"), "_toxic"))  # at most ``sample`` rows
-    chosen = documents.select("doc_id", "text").join(marked, F.col("doc_id") == F.col("_id")).dropDuplicates(["doc_id"])
+    chosen = documents.select("doc_id", "text").join(marked, F.col("doc_id") == F.col("_id")).groupBy("doc_id")
+    chosen = chosen.agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text"), F.max("_toxic").alias("_toxic"))
     rows = cut(chosen.select("doc_id", F.col("_toxic").alias("toxic"), _features("text").alias("features"), _patterns("text").alias("patterns")))
     kinds = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(kinds) < 2:
@@ -175,20 +181,23 @@ def learned(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Cl
     rate = kinds.get(1, 0) / sum(kinds.values())
     surprise = (F.col("t") - rate * F.col("n")) / F.sqrt(rate * (1 - rate) * F.col("n"))
     words = counts.filter(F.col("n") >= LEAST_DOCUMENTS).orderBy(F.abs(surprise).desc(), "feature").limit(VOCABULARY)
-    vocabulary = [r["feature"] for r in words.select("feature").collect()]  # at most VOCABULARY
+    listed = words.select("feature", "n", "t").collect()  # at most VOCABULARY
+    vocabulary = [r["feature"] for r in listed]
     if not vocabulary:
         return Classifier({}, float(np.log(rate / (1 - rate))))
 
-    strong = set(vocabulary[:2000]) | set(INSULTS)
-    known = F.array(*(F.lit(w) for w in sorted(strong)))
-    voted = rows.select("doc_id", "toxic", F.array_intersect("features", known).alias("features"), "patterns").toPandas()  # at most ``sample`` rows of voters
-    votes = _votes(voted, _lexicons(voted))
-    chances = LabelModel().fit(votes, np.where(voted["toxic"] == 1, 0.95, 0.05), votes.shape[1] - 1).posterior(votes)
+    strong = {r["feature"]: (r["t"], r["n"] - r["t"]) for r in listed}
+    lexicons = _lexicons(strong, kinds.get(1, 0), kinds.get(0, 0))
+    ballots = _voted(lexicons)(F.col("features"), F.col("patterns"), F.col("toxic"))
+    voted = rows.select("doc_id", "toxic", ballots.alias("votes")).toPandas()  # at most ``sample`` rows of some bytes
+    votes = np.stack(voted["votes"].to_list()).astype(np.int64)
+    chances = LabelModel().fit(votes, first_guess(votes, len(lexicons))).posterior(votes)
     inferred = rows.sparkSession.createDataFrame(pd.DataFrame({"_id": voted["doc_id"], "_chance": chances}))
     both = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("_chance").alias("weight")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("_chance")).alias("weight")))).alias("kind")
     known_rows = rows.join(F.broadcast(inferred), F.col("doc_id") == F.col("_id")).select("features", both).select("features", "kind.*").filter("weight > 0.001")
     counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="features", outputCol="vector").setBinary(True)
-    vectors = cut(counter.transform(known_rows).select("vector", "label", "weight"))
+    # A bounded sample, and a job for each round of the fit: few partitions.
+    vectors = cut(counter.transform(known_rows).select("vector", "label", "weight").coalesce(FIT_PARTITIONS))
     model = LogisticRegression(featuresCol="vector", labelCol="label", weightCol="weight", regParam=REGULARITY, maxIter=60, standardization=False).fit(vectors)
     weights = {w: float(x) for w, x in zip(vocabulary, model.coefficients.toArray(), strict=True) if abs(x) > 1e-6}
     return Classifier(weights, float(model.intercept))

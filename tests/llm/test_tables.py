@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from stopline.llm.preference import assembled, borrowed_answers, preference_segments
 from stopline.llm.quality import rated, repeated_words, without_frequent_lines
@@ -135,3 +136,32 @@ def test_substrings_against_plain_windows(spark, documents, odd, hot, monkeypatc
     got = without_repeated_substrings(documents(rows)).select("doc_id", "n_words", "n_removed", "kept").collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert without_repeated_substrings(documents([])).count() == 0
+
+
+HELPERS = ("_id", "_key", "_gone", "_size_", "_text_key", "_found", "_row_host", "_row", "_part", "_order", "_tie", "_kept_id", "_doc_id", "_ID", "carried 0")
+
+
+@pytest.mark.parametrize("name", ["toxicity", "lines", "simhash", "decontamination", "quality", "sharding"])
+def test_columns_named_like_helpers_are_left_alone(spark, documents, name):
+    from stopline.llm import decontamination, lines, quality, sharding, simhash, toxicity
+
+    run = {
+        "toxicity": lambda d: toxicity.without_toxic(d, spark.createDataFrame([(1, 0)], "doc_id long, toxic int")),
+        "lines": lines.without_repeated_lines,
+        "simhash": simhash.without_near_copies,
+        "decontamination": lambda d: decontamination.clean_documents(d, spark.createDataFrame([(1, "a b c")], "item_id long, text string")),
+        "quality": quality.without_frequent_lines,
+        "sharding": sharding.sharded,
+    }[name]
+    names = [n for n in HELPERS if n != "_ID"] if spark.conf.get("spark.sql.caseSensitive") == "false" else list(HELPERS)
+    plain = documents([(i, f"own{i} text number {i * 7919} with words {i ** 3} of its own\nline {i}") for i in range(6)])
+    docs = plain.select("*", *(F.concat(F.lit(f"{n} of "), "doc_id").alias(n) for n in names))
+    got = run(docs).collect()
+    assert len(got) == 6 and run(docs).columns[: len(docs.columns)] == docs.columns
+    assert all(r[n] == f"{n} of {r['doc_id']}" for r in got for n in names)
+
+
+def test_documents_that_have_an_added_column_are_refused(documents):
+    for run, column in ((sharded, "_size"), (without_frequent_lines, "_Kept")):
+        with pytest.raises(ValueError, match="already have"):
+            run(documents([(1, "x")]).withColumnRenamed("host", column))

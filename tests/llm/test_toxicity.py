@@ -5,7 +5,9 @@ import pandas as pd
 from conftest_llm import SF_DIR
 
 from stopline.llm.queries import op1_toxicity
-from stopline.llm.toxicity import LabelModel, held_out, learned, scored, without_toxic
+from pyspark.sql import functions as F
+
+from stopline.llm.toxicity import LEAST_DOCUMENTS, PATTERNS, LabelModel, _lexicons, _voted, first_guess, held_out, learned, scored, without_toxic
 
 
 def test_held_out_accuracy(spark):
@@ -49,3 +51,64 @@ def test_held_out_rows_are_not_learned_from(spark, documents):
     out = {r["doc_id"] for r in docs.filter(held_out(docs["doc_id"])).collect()}
     labels = [(i, int(i in out)) for i in range(60)]
     assert learned(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).score("good words") < 0.5
+
+
+def plain_em(votes, start, rounds):
+    """The label model with loops: chances by expected counts, correlations of what is left, posterior by their parts."""
+    n, m = len(votes), len(votes[0])
+    weight = list(start)
+    for _ in range(rounds):
+        chance = [[[0.5] * 3 for _ in range(2)] for _ in range(m)]
+        for row, w in zip(votes, weight, strict=True):
+            for j, v in enumerate(row):
+                chance[j][1][v + 1] += w
+                chance[j][0][v + 1] += 1 - w
+        total = [sum(1 - w for w in weight) + 1.5, sum(weight) + 1.5]
+        chance = [[[c / total[y] for c in chance[j][y]] for y in range(2)] for j in range(m)]
+        prior = sum(weight) / n
+        mean = [[chance[j][y][2] - chance[j][y][0] for y in range(2)] for j in range(m)]
+        rest = [[v - (1 - w) * mean[j][0] - w * mean[j][1] for j, v in enumerate(row)] for row, w in zip(votes, weight, strict=True)]
+        centre = [sum(r[j] for r in rest) / n for j in range(m)]
+        spread = [(sum((r[j] - centre[j]) ** 2 for r in rest) / n) ** 0.5 + 1e-9 for j in range(m)]
+        alike = [[sum(r[j] * r[k] for r in rest) / n / spread[j] / spread[k] for k in range(m)] for j in range(m)]
+        part = [1 / max(1.0, sum(abs(a) for a in alike[j] if abs(a) > 0.2)) for j in range(m)]
+        score = [np.log(prior / (1 - prior)) + sum(part[j] * np.log(chance[j][1][v + 1] / chance[j][0][v + 1]) for j, v in enumerate(row)) for row in votes]
+        weight = [1 / (1 + np.exp(-max(-30, min(30, x)))) for x in score]
+    return np.array(chance), prior, np.array(alike), np.array(weight)
+
+
+def test_voters_guess_rounds_and_posterior_against_a_plain_version(spark):
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(30)]
+    rows = []
+    for i in range(300):
+        toxic = int(rng.random() < 0.3)
+        found = [w for j, w in enumerate(words) if rng.random() < (0.5 if toxic and j < 6 else 0.0 if j < 6 else 0.2)]
+        rows.append((i, found, [bool(rng.random() < 0.1 + 0.3 * toxic) for _ in PATTERNS], int(toxic if rng.random() < 0.9 else 1 - toxic)))
+    counts = {w: (sum(w in f and t for _, f, _, t in rows), sum(w in f and not t for _, f, _, t in rows)) for w in words}
+    toxic = sum(t for *_, t in rows)
+    lexicons = _lexicons(counts, toxic, len(rows) - toxic)
+    sure = [w for w, (c, r) in counts.items() if c >= 2 * LEAST_DOCUMENTS and c / toxic > 49 * r / (len(rows) - toxic)]
+    assert sorted(w for lexicon in lexicons for w in lexicon) == sorted(sure)
+    lexicons = [words[:2], words[2:4], words[4:6]]
+    frame = spark.createDataFrame(rows, "doc_id long, features array<string>, patterns array<boolean>, toxic int")
+    votes = frame.select("doc_id", _voted(lexicons)(F.col("features"), F.col("patterns"), F.col("toxic")).alias("votes")).orderBy("doc_id").collect()
+    want = []
+    for _, found, signs, label in rows:
+        by_word = [int(any(w in found for w in lexicon)) for lexicon in lexicons]
+        by_sign = [(1 if abuse else -1) if here else 0 for here, (_, abuse) in zip(signs, PATTERNS, strict=True)]
+        want.append([*by_word, *by_sign, 0 if any(by_word) else -1, 1 if label else -1])
+    assert [list(r["votes"]) for r in votes] == want
+    start = first_guess(np.array(want), 3)
+    assert list(start) == [0.05 if not (k := sum(v > 0 for v in row[:3])) else 1 - 0.5 ** (k + 1) for row in want]
+    model = LabelModel().fit(np.array(want), start, rounds=4)
+    chance, prior, alike, posterior = plain_em(want, start, 4)
+    assert np.allclose(model.chances, chance) and np.isclose(model.prior, prior) and np.allclose(model.correlation, alike)
+    assert np.allclose(model.posterior(np.array(want)), posterior, atol=1e-6)
+
+
+def test_documents_with_one_id_are_learned_from_in_one_way(spark, documents):
+    rows = [(i, f"{'vile nasty' if i % 2 else 'kind warm'} words number{i}") for i in range(80)] + [(i, f"other text {i}") for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    first, second = (learned(documents(given).repartition(7), labels) for given in (rows, rows[::-1]))
+    assert set(first.weights) == set(second.weights)
