@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,13 @@ def without_prefix(path: Column, prefix: str) -> Column:
     return F.replace(path, F.lit(prefix), F.lit(""))
 
 
+def day_path(day: Column, pattern: str) -> Column:
+    """A path with a day's ``%Y``, ``%m`` and ``%d`` written into it; NULL for no day."""
+    forms = {"%Y": "yyyy", "%m": "MM", "%d": "dd"}
+    parts = [part for part in re.split("(%[Ymd])", pattern) if part]
+    return F.concat(*(F.date_format(day, forms[part]) if part in forms else F.lit(part) for part in parts))
+
+
 def to_bytes(text: Column) -> Column:
     """A size given as text; NULL when it is no integer."""
     return text.try_cast("bigint")

@@ -198,13 +198,14 @@ def period_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def period_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive address, path of a table and monthly dataset of each day that has events."""
-    per_day = counts.records_per_day(roles.event_visits(spark, sf_dir, None))
-    named = [
-        (day, archives.archive_path(ARCHIVE_BASE, day), feed_csv.table_path(FEED_BASE, day, "stops"), landing.dataset_path(DATASET_BASE, day))
-        for (day,) in per_day.select(FEED_DATE).filter(F.col(FEED_DATE).isNotNull()).collect()  # a row for each calendar day
-    ]
-    names = spark.createDataFrame(named, f"{FEED_DATE} DATE, archive_url STRING, table_path STRING, dataset_path STRING")
-    return per_day.join(names, FEED_DATE, "left")
+    day = F.col(FEED_DATE)
+    return counts.records_per_day(roles.event_visits(spark, sf_dir, None)).select(
+        FEED_DATE,
+        paths.day_path(day, f"{ARCHIVE_BASE}/{archives.ARCHIVE_FILE}").alias("archive_url"),
+        paths.day_path(day, f"{FEED_BASE}/{feed_csv.DAY_DIRECTORY}/{feed_csv.TABLE_FILE.format(table='stops')}").alias("table_path"),
+        paths.day_path(day, f"{DATASET_BASE}/%Y-%m/gtfs").alias("dataset_path"),
+        "n_records",
+    )
 
 
 @query
@@ -370,6 +371,19 @@ def ranked_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.named_lists(visits, roles.supplier_stops(spark, sf_dir), LIST_SIZE)
 
 
+@query
+def all_stops_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rank of every stop among all, not of a list's."""
+    return ranking.ranked_stops(counts.visits_per_stop(roles.lineitem_visits(spark, sf_dir), ORDER_PERIOD.num_days))
+
+
+@query
+def long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 000 least visited stops with names, all if there are fewer."""
+    visits = counts.visits_per_stop(roles.lineitem_visits(spark, sf_dir), ORDER_PERIOD.num_days)
+    return ranking.named_list(visits, roles.part_stops(spark, sf_dir), 50_000, ascending=True)
+
+
 # --- completeness --------------------------------------------------------------------------------------------------
 
 
@@ -403,7 +417,7 @@ def lake_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed as a table per type, and which tables each day of that lake has."""
     lake = run_folder(spark, "typed-lake")
     events = roles.table(spark, sf_dir, "events").withColumn(FEED_DATE, F.to_date("ts"))
-    for name, _ in EVENT_MANIFEST:
+    for name in (*(name for name, _ in EVENT_MANIFEST), "error"):  # one that no manifest has is landed, too
         landing.land(events.filter(F.col("event_type") == name).select(FEED_DATE, "event_id"), f"{lake}/{name}")
     return lake_completeness(spark, lake, EVENT_PERIOD, EVENT_MANIFEST)
 

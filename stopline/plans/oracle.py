@@ -178,6 +178,9 @@ ORACLE: dict[str, str] = {
     "top_stops_lineitem": _list(_LINEITEM_VISITS, _PART_STOPS, "DESC"),
     "least_stops_lineitem": _list(_LINEITEM_VISITS, _PART_STOPS, "ASC"),
     "ranked_stops": f"WITH named AS ({_named(_EVENT_VISITS_WITH_GAPS, _SUPPLIER_STOPS)}) {_RANKED}",
+    "all_stops_ranked": f"""
+        SELECT *, row_number() OVER (ORDER BY total_visits DESC, stop_id ASC NULLS LAST) AS rank FROM ({_LINEITEM_VISITS})""",
+    "long_list": _list(_LINEITEM_VISITS, _PART_STOPS, "ASC").replace("LIMIT 30", "LIMIT 50000"),
     "feed_completeness": f"WITH {_ORDER_DAYS} SELECT * FROM complete",
     "feed_verdicts": f"""
         WITH {_ORDER_DAYS}

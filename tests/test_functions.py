@@ -127,3 +127,13 @@ def test_period_of_times_takes_whole_days(spark):
     frame = spark.createDataFrame([(m,) for m in moments], "m STRING").select(F.col("m").cast("timestamp_ntz").alias("m"))
     inside = frame.select(Period.parse("2025-10-01", "2025-10-02").has_time(F.col("m"))).collect()
     assert [row[0] for row in inside] == [False, True, True, False]
+
+
+def test_day_paths_are_those_of_the_sources(spark):
+    from stopline.sources import archives, feed_csv
+
+    days = [date(2024, 2, 29), date(1999, 12, 1), None]
+    got = apply(spark, days, "DATE", lambda d: paths.day_path(d, f"/a b/q/{archives.ARCHIVE_FILE}"))
+    assert got == [d and archives.archive_path("/a b/q", d) for d in days]
+    got = apply(spark, days, "DATE", lambda d: paths.day_path(d, f"/x/{feed_csv.DAY_DIRECTORY}/{feed_csv.TABLE_FILE.format(table='stops')}"))
+    assert got == [d and feed_csv.table_path("/x", d, "stops") for d in days]

@@ -146,3 +146,28 @@ def test_counting_reads_no_columns(spark):
 
 def test_line_counting_does_not_shuffle(spark):
     assert "Exchange" not in plan_of(QUERIES["line_counts"](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("ascending", [False, True])
+def test_ranks_of_all_stops_without_one_task_for_all(spark, visits, keys, ascending):
+    per_stop = counts.visits_per_stop(visits, 7)
+    ranked = ranking.ranked_stops(per_stop, ascending)
+    totals = Counter(keys)
+    order = sorted(totals, key=lambda s: (totals[s] if ascending else -totals[s], s is None, s or 0))
+    assert {r.stop_id: r["rank"] for r in ranked.collect()} == {stop: i for i, stop in enumerate(order, 1)}
+    plan = plan_of(ranked)
+    assert "SinglePartition" not in plan and "Window" not in plan
+    nothing = ranking.ranked_stops(per_stop.filter("false"), ascending)
+    assert nothing.count() == 0 and nothing.columns == [*per_stop.columns, "rank"]
+
+
+def test_a_long_list_is_cut_by_ranges(spark, visits, stops, monkeypatch):
+    per_stop = counts.visits_per_stop(visits, 7)
+    short = [tuple(r) for r in ranking.named_list(per_stop, stops, 123).collect()]
+    both = sorted(map(tuple, ranking.named_lists(per_stop, stops, 60).collect()), key=str)
+    monkeypatch.setattr(ranking, "_SMALL_LIST", 10)
+    long = ranking.named_list(per_stop, stops, 123)
+    plan = plan_of(long)
+    assert "TakeOrderedAndProject" not in plan and "SinglePartition" not in plan and "Window" not in plan
+    assert [tuple(r) for r in long.collect()] == short
+    assert sorted(map(tuple, ranking.named_lists(per_stop, stops, 60).collect()), key=str) == both
