@@ -8,7 +8,7 @@ from conftest_llm import SF_DIR, components_of
 
 from stopline.llm.common import components
 from stopline.llm.queries import op2_simhash
-from stopline.llm.simhash import links, near_copies, without_near_copies
+from stopline.llm.simhash import CROWD, links, matches, near_copies, without_near_copies
 
 
 def brute_print(text):
@@ -60,6 +60,37 @@ def test_links_connect_what_two_bits_tell_apart(spark):
     assert components_of(prints, found) == components_of(prints, exact)
 
 
+def within(prints):
+    return [(a, b) for k, a in enumerate(prints) for b in prints[k + 1 :] if ((a ^ b) & (2**64 - 1)).bit_count() <= 2]
+
+
+def test_lookups_find_all_and_whole_distances_reject(spark):
+    rng = random.Random(6)
+    signed = lambda x: x - 2**64 if x >> 63 else x
+    base = [rng.getrandbits(64) for _ in range(40)]
+    near = [b ^ 1 << i ^ 1 << j for b in base for i, j in (rng.sample(range(64), 2) for _ in range(8))]
+    far = [b ^ (rng.getrandbits(32) << 32 * rng.randrange(2)) for b in base]  # one segment is the same, the other is not
+    prints = sorted(map(signed, {*base, *near, *far}))
+    frame = spark.createDataFrame([(p,) for p in prints], "print long")
+    looked_up = {(r["a"], r["b"]) for r in matches(frame).collect()}
+    exact = set(within(prints))
+    assert exact <= looked_up and len(looked_up - exact) >= 40
+    assert {(r["a"], r["b"]) for r in links(frame).collect()} == exact
+
+
+def test_crowded_values_lose_no_link(spark):
+    rng = random.Random(8)
+    upper, lower = 0x7B00FF01, 0x12345678
+    crowd = {upper << 32 | rng.getrandbits(9) for _ in range(3 * CROWD)} | {rng.getrandbits(9) << 32 | lower for _ in range(3 * CROWD)}
+    guests = {p ^ 1 << 32 + rng.randrange(31) ^ rng.choice((0, 1 << rng.randrange(32))) for p in rng.sample(sorted(crowd), 150)}
+    prints = sorted(crowd | guests)
+    found = links(spark.createDataFrame([(p,) for p in prints], "print long")).collect()
+    exact = within(prints)
+    assert {(r["a"], r["b"]) for r in found} <= set(exact)
+    assert components_of(prints, found) == components_of(prints, exact)
+    assert len(found) < len(prints) * 40
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     pairs = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
