@@ -10,6 +10,8 @@ from stopline.llm.common import BLANKS, carrying, cut, let, small, text_key
 
 #: Lines with fewer words are compared as wholes, or by their signs: one word is too much of them.
 MIN_WORDS = 5
+#: Signs from which the query and the pipeline compare such lines by signs.
+MIN_SIGNS = 5
 
 
 def normalised(line: Column) -> Column:
@@ -32,17 +34,16 @@ def _content() -> tuple[Column, Column]:
     return F.xxhash64("norm").alias("c1"), F.xxhash64(F.lit(0), F.col("norm")).alias("c2")
 
 
-def _units(signs: int | None) -> tuple[Column, Column]:
-    """What a line ``norm`` is compared by, its words or if they are few its signs, and whether it is compared so at all.
+def _units(signs: int | None) -> Column:
+    """What a line ``norm`` is compared by: its words, or if they are few its signs.
 
     A sign has a blank after it, which no word has: lines of words and lines of signs have nothing in common.
     """
     words = F.split("norm", " ")
-    long = F.size(words) >= MIN_WORDS
     if signs is None:
-        return words, long
+        return words
     each = F.transform(F.regexp_extract_all("norm", F.lit("(?s)(.)"), F.lit(1)), lambda sign: F.concat(sign, F.lit(" ")))
-    return F.when(long, words).otherwise(each), long | (F.char_length("norm") >= signs)
+    return F.when(F.size(words) >= MIN_WORDS, words).otherwise(each)
 
 
 def _outlines(words: Column, segments: int) -> Column:
@@ -64,6 +65,23 @@ def _outlines(words: Column, segments: int) -> Column:
     return F.array_distinct(F.array(*(without(shorter, k) for shorter in (n, n - 1) for k in range(segments))))
 
 
+def _halves(signs: int | None) -> dict[str, Column]:
+    """``_outlines`` by two segments, as four numbers made from ``norm`` itself; null for a line that is not compared so.
+
+    Needs ``n``, how many words a line has or if they are few how many signs, and ``by_words``, which of the two.
+    """
+    n, by_words = F.col("n"), F.col("by_words")
+    compared = by_words if signs is None else by_words | (n >= signs)
+
+    def of(shorter: Column, first: bool) -> Column:
+        head = F.floor(shorter / 2).cast("int")
+        words = F.call_function("substring_index", F.col("norm"), F.lit(" "), head if first else head - shorter)
+        letters = F.left("norm", head) if first else F.right("norm", shorter - head)
+        return F.when(compared, F.xxhash64(shorter, F.lit(first), by_words, F.when(by_words, words).otherwise(letters)))
+
+    return {f"half{2 * k + first}": of(n - k, bool(first)) for k in (0, 1) for first in (0, 1)}
+
+
 def _sharing(contents: DataFrame, outlines: Column) -> DataFrame:
     """The hashes ``c1`` of contents that have an outline in common with another: a first sieve, so one hash is enough."""
     keys = contents.select("c1", F.explode(outlines).alias("outline"))
@@ -118,15 +136,19 @@ def line_contents(documents: DataFrame, signs: int | None = None) -> DataFrame:
     Only lines that agree with another in the first or last half get to be compared, then only those that agree in seven of
     eight parts; both keep every pair within one word. Those give their variants.
     """
-    words, compared = _units(signs)
-    halves = F.when(compared, let(words, lambda w: _outlines(w, 2))).alias("halves")
+    words = _units(signs)
     place = F.struct(F.col("doc_id").alias("doc"), F.col("text_key"), F.col("line_no").alias("line"))
+    halves = _halves(signs)
+    blanks = F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" "), F.lit("")))
+    counted = _lines(documents, *_content(), place.alias("place"), (blanks + 1).alias("n_words"))
+    by_words = F.col("n_words") >= MIN_WORDS
+    counted = counted.withColumns({"by_words": by_words, "n": F.when(by_words, F.col("n_words")).otherwise(F.char_length("norm"))})
     contents = cut(
-        _lines(documents, *_content(), place.alias("place"), halves)
+        counted.select("c1", "c2", "place", *(c.alias(name) for name, c in halves.items()))
         .groupBy("c1", "c2")
-        .agg(F.min("place").alias("place"), F.count("*").alias("times"), F.first("halves").alias("halves"))
+        .agg(F.min("place").alias("place"), F.count("*").alias("times"), *(F.max(name).alias(name) for name in halves))
     )
-    near = cut(_sharing(contents.filter("halves is not null"), F.col("halves")))
+    near = cut(_sharing(contents.filter("half0 is not null"), F.array(*halves)))
     texts = _lines(documents, *_content(), place.alias("place")).join(small(near), "c1", "left_semi")
     texts = texts.groupBy("c1", "c2").agg(F.first("norm").alias("norm"), F.min("place").alias("place"))
     texts = cut(texts.select("c1", "c2", "place", words.alias("words")))

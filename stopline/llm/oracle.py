@@ -16,15 +16,22 @@ WITH numbered AS (
 ), lines AS (
   SELECT doc_id, line_no, line, trim(regexp_replace(lower(line), '[{_BLANKS}]+', ' ', 'g'), ' ') AS norm FROM numbered
 ), contents AS (
-  SELECT norm, min({{'doc': doc_id, 'line': line_no}}) AS place, string_split(norm, ' ') AS words FROM lines WHERE norm <> '' GROUP BY norm
+  SELECT norm, min({{'doc': doc_id, 'line': line_no}}) AS place, len(string_split(norm, ' ')) >= 5 AS by_words FROM lines WHERE norm <> '' GROUP BY norm
+), units AS (
+  SELECT norm, place, by_words, CASE WHEN by_words THEN string_split(norm, ' ')
+    ELSE list_transform(range(1, length(norm) + 1), lambda i: substr(norm, i, 1)) END AS units
+  FROM contents WHERE by_words OR length(norm) >= 5
 ), variants AS (
-  SELECT norm, place, len(words) AS n, unnest(range(1, len(words) + 1)) AS gap, words FROM contents WHERE len(words) >= 5
+  SELECT norm, place, by_words, len(units) AS n, unnest(range(1, len(units) + 1)) AS gap, units FROM units
 ), gaps AS (
-  SELECT norm, place, n, gap, array_to_string(list_concat(words[:gap - 1], words[gap + 1:]), ' ') AS rest FROM variants
+  SELECT norm, place, by_words, n, gap,
+    CASE WHEN by_words THEN array_to_string(list_concat(units[:gap - 1], units[gap + 1:]), ' ')
+      ELSE substr(norm, 1, gap - 1) || substr(norm, gap + 1) END AS rest FROM variants
 ), near AS (
-  SELECT a.norm FROM gaps a JOIN (SELECT n, gap, rest, min(place) AS place FROM gaps GROUP BY ALL) b USING (n, gap, rest) WHERE b.place < a.place
-  UNION SELECT a.norm FROM gaps a JOIN contents b ON a.rest = b.norm WHERE len(b.words) >= 5 AND b.place < a.place
-  UNION SELECT b.norm FROM gaps a JOIN contents b ON a.rest = b.norm WHERE len(b.words) >= 5 AND a.place < b.place
+  SELECT a.norm FROM gaps a JOIN (SELECT by_words, n, gap, rest, min(place) AS place FROM gaps GROUP BY ALL) b USING (by_words, n, gap, rest)
+  WHERE b.place < a.place
+  UNION SELECT a.norm FROM gaps a JOIN units b ON a.rest = b.norm AND a.by_words = b.by_words WHERE b.place < a.place
+  UNION SELECT b.norm FROM gaps a JOIN units b ON a.rest = b.norm AND a.by_words = b.by_words WHERE a.place < b.place
 ), judged AS (
   SELECT l.doc_id, l.line_no, l.line,
     l.norm = '' OR (n.norm IS NULL AND c.place = {{'doc': l.doc_id, 'line': l.line_no}}) AS stays

@@ -41,7 +41,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lines.without_repeated_lines(table(spark, sf_dir, "documents"))
+    rows = lines.without_repeated_lines(table(spark, sf_dir, "documents"), signs=lines.MIN_SIGNS)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     return rows.select("doc_id", F.col("_lines_before").alias("n_lines"), F.col("_lines_after").alias("n_kept"), digest.alias("kept_sha256"))
 
