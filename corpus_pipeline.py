@@ -20,7 +20,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and documents that had words and lose their last; n_chars is counted again."""
-    rows = lines.without_repeated_lines(docs)
+    rows = lines.without_repeated_lines(docs, signs=lines.MIN_SIGNS)
     words = F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\v\f\r", "     ")) != ""
     rows = rows.filter(words | (F.col("_lines_before") == F.col("_lines_after")))
     count = F.when(F.col("_lines_before") == F.col("_lines_after"), F.col("n_chars")).otherwise(F.char_length("text"))
