@@ -116,7 +116,8 @@ WITH docs AS (
     regexp_extract_all({_LOWER.replace("text", "line")}, '[^{_BLANKS}]+'), ' '), '[0-9]+', '0', 'g') AS line
   FROM lines WHERE len(words) > 0
 ), frequent AS (
-  SELECT host, line FROM normal GROUP BY ALL HAVING count(DISTINCT doc_id) > 10
+  SELECT host, line FROM (SELECT host, line, count(DISTINCT doc_id) AS n FROM normal GROUP BY ALL)
+  JOIN (SELECT host, count(DISTINCT doc_id) AS of_host FROM docs GROUP BY host) USING (host) WHERE n > 10 AND 20 * n > of_host
 ), gone AS (
   SELECT doc_id, sum(n) AS n FROM normal JOIN frequent USING (host, line) GROUP BY doc_id
 ), counted AS (

@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from stopline.llm.common import carrying, cut
 
-#: A line is removed from a host's documents if more than so many of them have it.
+#: A line is removed from a host's documents if more than so many of them have it, and more than one in ``ONE_IN``.
 MAX_DOCUMENTS = 10
+ONE_IN = 20
 #: A document is rejected if more than this part of its words goes with such lines.
 MAX_REMOVED = 0.5
 MIN_WORDS = 20
@@ -100,26 +101,28 @@ def _cleared(texts: pa.Array, gone: pa.Array) -> pa.Array:
     return pa.array(kept, pa.string())
 
 
-def without_frequent_lines(documents: DataFrame, max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED) -> DataFrame:
+def without_frequent_lines(documents: DataFrame, max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED, one_in: int = ONE_IN) -> DataFrame:
     """The documents with all their columns, ``text`` without its host's frequent lines, and counts of the text as it was.
 
     The counts are ``_n_words``, ``_word_chars``, ``_n_symbols``, ``_n_dup_lines``, ``_n_repeat_words`` and
     ``_n_frequent_words``, the words of the lines that went; ``_base_failed`` and ``_kept`` say whether the document stays.
-    Rejected documents are returned too. Needs ``doc_id``, ``text`` and ``source``, the host; null text counts as empty and
+    Rejected documents are returned too. A line is frequent if more than ``max_documents`` of a host's documents have it,
+    and more than one in ``one_in``: the limit grows with the host, so natural short lines stay however large a host is.
+    Needs ``doc_id``, ``text`` and ``source``, the host; null text counts as empty and
     stays null, null hosts are one host, the empty one. A line counts once a document; blank lines are not counted and stay.
     Rows that agree in all three columns are one document and get the same answer as often as they occur. Line counts
     combine on the map side, so that one line in a third of all documents is a row for each task; the frequent lines meet
     the documents' lines in a join that Spark may split on skew. Texts travel to their document's lines only if ``text`` is
     asked for.
     """
-    return carrying(documents, lambda rows: _without_frequent_lines(rows, max_documents, max_removed), *TOLD)
+    return carrying(documents, lambda rows: _without_frequent_lines(rows, max_documents, max_removed, one_in), *TOLD)
 
 
 #: What is told of each document.
 TOLD = [f"_{c}" for c in (*COUNTS, "base_failed", "kept", "n_frequent_words")]
 
 
-def _without_frequent_lines(documents: DataFrame, max_documents: int, max_removed: float) -> DataFrame:
+def _without_frequent_lines(documents: DataFrame, max_documents: int, max_removed: float, one_in: int) -> DataFrame:
     host = F.coalesce("source", F.lit(""))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), host.alias("host"), F.xxhash64("text").alias("text_key"), "text")
     keys = ["doc_id", "host", "text_key"]
@@ -128,6 +131,8 @@ def _without_frequent_lines(documents: DataFrame, max_documents: int, max_remove
     frequent = (
         lines.select("host", "line", "doc_id").distinct().groupBy("host", "line").agg(F.count("*").alias("documents"))
     ).filter(F.col("documents") > max_documents)
+    hosts = each.select("host", "doc_id").distinct().groupBy("host").agg(F.count("*").alias("of_host"))
+    frequent = frequent.join(hosts, "host").filter(one_in * F.col("documents") > F.col("of_host")).select("host", "line")
     gone = (
         lines.join(frequent, ["host", "line"])
         .groupBy(*(F.col(k).alias(f"_{k}") for k in keys))
@@ -153,7 +158,7 @@ def _without_frequent_lines(documents: DataFrame, max_documents: int, max_remove
     return joined.select(*(text if c == "text" else joined[c] for c in documents.columns), *TOLD)
 
 
-def rated(documents: DataFrame, max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED) -> DataFrame:
+def rated(documents: DataFrame, max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED, one_in: int = ONE_IN) -> DataFrame:
     """What ``without_frequent_lines`` tells of each document, without the documents."""
-    rows = without_frequent_lines(documents.select("doc_id", "text", "source"), max_documents, max_removed)
+    rows = without_frequent_lines(documents.select("doc_id", "text", "source"), max_documents, max_removed, one_in)
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(f"_{c}").alias(c) for c in (*COUNTS, "base_failed", "kept", "n_frequent_words")))

@@ -69,6 +69,14 @@ def test_frequent_lines_go_from_the_texts(spark, documents, odd):
     assert "ArrowEvalPython" not in plan  # texts are made only if they are asked for
 
 
+def test_the_limit_of_frequent_lines_grows_with_the_host(documents):
+    for n in (100, 300, 900):  # one in 25 has the rare line, one in 15 the other; ten documents are always allowed
+        rows = [(3 * i, "\n".join([f"own {i}", *["rare line"] * (i % 25 == 0), *["menu of the host"] * (i % 15 == 0)])) for i in range(n)]
+        got = dict(without_frequent_lines(documents(rows)).select("doc_id", "text").collect())
+        assert all(("rare line" in got[i]) == ("rare line" in t) for i, t in rows)
+        assert any("menu of the host" in t for t in got.values()) == (n == 100)
+
+
 def test_repeated_words_against_plain_windows():
     rng = random.Random(2)
     for _ in range(300):
