@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stopline.llm.common import BLANKS, carrying, cut, let, small, text_key
+from stopline.scratch import run_folder
 
 #: Lines with fewer words are compared as wholes, or by their signs: one word is too much of them.
 MIN_WORDS = 5
@@ -130,24 +131,30 @@ def within_one_word(a: Column, b: Column) -> Column:
     return F.when(gap.isin(0, 1), longer(a, b)).when(gap == -1, longer(b, a)).otherwise(False)
 
 
-def line_contents(documents: DataFrame, signs: int | None = None) -> DataFrame:
+def _saved_lines(documents: DataFrame, signs: int | None) -> DataFrame:
+    """``(doc_id, text_key, line_no, c1, c2)`` and the halves of all lines with words, as a table in the shared folder."""
+    blanks = F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" "), F.lit("")))
+    counted = _lines(documents, *_content(), (blanks + 1).alias("n_words"))
+    by_words = F.col("n_words") >= MIN_WORDS
+    counted = counted.withColumns({"by_words": by_words, "n": F.when(by_words, F.col("n_words")).otherwise(F.char_length("norm"))})
+    halves = (c.alias(name) for name, c in _halves(signs).items())
+    folder = run_folder(documents.sparkSession, "lines")
+    counted.select("doc_id", "text_key", "line_no", "c1", "c2", *halves).write.parquet(folder)
+    return documents.sparkSession.read.parquet(folder)
+
+
+def line_contents(documents: DataFrame, saved: DataFrame, signs: int | None = None) -> DataFrame:
     """Each distinct line: where it first occurs, how often, and whether an earlier line is within one word (or sign) of it.
 
-    Only lines that agree with another in the first or last half get to be compared, then only those that agree in seven of
-    eight parts; both keep every pair within one word. Those give their variants.
+    ``saved`` are the lines of the documents as ``_saved_lines`` has them. Only lines that agree with another in the first
+    or last half get to be compared, then only those that agree in seven of eight parts; both keep every pair within one
+    word. Those give their variants.
     """
     words = _units(signs)
     place = F.struct(F.col("doc_id").alias("doc"), F.col("text_key"), F.col("line_no").alias("line"))
-    halves = _halves(signs)
-    blanks = F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" "), F.lit("")))
-    counted = _lines(documents, *_content(), place.alias("place"), (blanks + 1).alias("n_words"))
-    by_words = F.col("n_words") >= MIN_WORDS
-    counted = counted.withColumns({"by_words": by_words, "n": F.when(by_words, F.col("n_words")).otherwise(F.char_length("norm"))})
-    contents = cut(
-        counted.select("c1", "c2", "place", *(c.alias(name) for name, c in halves.items()))
-        .groupBy("c1", "c2")
-        .agg(F.min("place").alias("place"), F.count("*").alias("times"), *(F.max(name).alias(name) for name in halves))
-    )
+    halves = list(_halves(signs))
+    firsts = saved.groupBy("c1", "c2").agg(F.min(place).alias("place"), F.count("*").alias("times"), *(F.max(h).alias(h) for h in halves))
+    contents = cut(firsts)
     near = cut(_sharing(contents.filter("half0 is not null"), F.array(*halves)))
     texts = _lines(documents, *_content(), place.alias("place")).join(small(near), "c1", "left_semi")
     texts = texts.groupBy("c1", "c2").agg(F.first("norm").alias("norm"), F.min("place").alias("place"))
@@ -185,9 +192,10 @@ def without_repeated_lines(documents: DataFrame, signs: int | None = None) -> Da
 
 
 def _without_repeated_lines(documents: DataFrame, signs: int | None) -> DataFrame:
-    contents = line_contents(documents, signs)
+    saved = _saved_lines(documents, signs)
+    contents = line_contents(documents, saved, signs)
     doubtful = contents.filter("near or times > 1").select("c1", "c2", "place", "near")
-    places = _lines(documents, *_content()).drop("norm")
+    places = saved.select("doc_id", "text_key", "line_no", "c1", "c2")
     here = F.struct(F.col("doc_id").alias("doc"), F.col("text_key"), F.col("line_no").alias("line"))
     gone = places.join(doubtful, ["c1", "c2"]).filter(F.col("near") | (here != F.col("place")))
     gone = cut(gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_set("line_no").alias("_gone")))
