@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stopline.llm.common import cut
+from stopline.llm.common import carrying, cut, let
 
 #: Labelled documents that are learned from, at most; which ones, a hash of the id decides.
 SAMPLE = 16_000
@@ -31,11 +31,11 @@ REGULARITY = 1e-4
 _WORD = re.compile(r"[^\W\d_]+")
 #: Patterns that vote for abuse where they are found (true) or for its absence.
 PATTERNS = (
-    (re.compile(r"\b(?:you|tu|du|ihr|vous|tú)\b[^.!?\n]{0,40}!", re.I), True),
-    (re.compile(r"[!?]{3,}"), True),
-    (re.compile(r"\b(?:[A-Z]{3,}\W+){4,}"), True),
-    (re.compile(r"(\w)\1{4,}"), True),
-    (re.compile(r"\b(?:shut up|get lost|hate you)\b", re.I), True),
+    (r"(?iU)\b(?:you|tu|du|ihr|vous|tú)\b[^.!?\n]{0,40}!", True),
+    (r"[!?]{3,}", True),
+    (r"(?U)\b(?:[A-Z]{3,}\W+){4}", True),
+    (r"(?U)(\w)\1{4}", True),
+    (r"(?iU)\b(?:shut up|get lost|hate you)\b", True),
 )
 
 
@@ -46,14 +46,19 @@ def features(text: str | None) -> list[str]:
     return sorted(found | stems)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _features(texts: pd.Series) -> pd.Series:
-    return texts.map(features)
+def features_of(text: Column) -> Column:
+    """``features`` as a column, in any order."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{Nl}\p{No}]+"), F.lit(0))
 
+    def stems(found: Column, n: int) -> Column:
+        return F.transform(F.filter(found, lambda w: F.char_length(w) >= n), lambda w: F.concat(F.left(w, F.lit(n)), F.lit("*")))
 
-@F.pandas_udf(T.ArrayType(T.BooleanType()))
-def _patterns(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: [bool(p.search(t or "")) for p, _ in PATTERNS])
+    return let(F.array_distinct(words), lambda found: F.array_distinct(F.concat(found, *(stems(found, n) for n in STEMS))))
+
+
+def patterns_of(text: Column) -> Column:
+    """Which of the patterns a text has."""
+    return F.array(*(F.coalesce(text, F.lit("")).rlike(pattern) for pattern, _ in PATTERNS))
 
 
 @dataclass
@@ -113,15 +118,12 @@ def _lexicons(counts: dict[str, tuple[int, int]], toxic: int, others: int) -> li
 def _voted(lexicons: list[list[str]]) -> Callable[[Column, Column, Column], Column]:
     """A vote for each lexicon (for where a word is found, else none), pattern, for no lexicon word at all, and the label."""
 
-    @F.pandas_udf(T.ArrayType(T.ByteType()))
-    def votes(features: pd.Series, patterns: pd.Series, toxic: pd.Series) -> pd.Series:
-        made = []
-        for found, signs, label in zip(features, patterns, toxic, strict=True):
-            found = set(found)
-            words = [int(not found.isdisjoint(lexicon)) for lexicon in lexicons]
-            seen = [int(here) * (1 if abuse else -1) for here, (_, abuse) in zip(signs, PATTERNS, strict=True)]
-            made.append(np.array([*words, *seen, -(not any(words)), 2 * int(label) - 1], np.int8))
-        return pd.Series(made, dtype=object)
+    def votes(features: Column, patterns: Column, toxic: Column) -> Column:
+        words = [F.arrays_overlap(features, F.array(*map(F.lit, lexicon))) for lexicon in lexicons]
+        none = ~F.array_contains(F.array(F.lit(False), *words), True)
+        seen = [F.when(patterns[i], 1 if abuse else -1).otherwise(0) for i, (_, abuse) in enumerate(PATTERNS)]
+        each = [*(word.cast("int") for word in words), *seen, -none.cast("int"), 2 * toxic.cast("int") - 1]
+        return F.array(*(vote.cast("tinyint") for vote in each))
 
     return votes
 
@@ -134,22 +136,29 @@ def first_guess(votes: np.ndarray, lexicons: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Classifier:
+    """Weights of words and stems; ``model`` has them for Spark, and is none where every text gets the score of ``bias``."""
+
     weights: dict[str, float]
     bias: float
+    vocabulary: tuple[str, ...] = ()
+    model: LogisticRegressionModel | None = None
 
     def score(self, text: str | None) -> float:
         get = self.weights.get
         return float(1 / (1 + np.exp(-np.clip(self.bias + sum(get(f, 0.0) for f in features(text)), -30, 30))))
 
-    def column(self, text: Column) -> Column:
-        """The score of a text as a column: 0 to 1; null and empty texts are scored as texts without words."""
+    def scored(self, documents: DataFrame, name: str) -> DataFrame:
+        """The documents and the score of their text, 0 to 1; null and empty texts are scored as texts without words."""
+        if self.model is None:
+            return documents.withColumn(name, F.lit(self.score(None)))
+        counter = CountVectorizerModel.from_vocabulary(list(self.vocabulary), inputCol="_features", outputCol="_vector").setBinary(True)
+        model = self.model.copy().setFeaturesCol("_vector").setProbabilityCol("_chances").setRawPredictionCol("").setPredictionCol("")
 
-        def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for texts in batches:
-                yield texts.map(self.score).astype("float64")
+        def run(rows: DataFrame) -> DataFrame:
+            rows = model.transform(counter.transform(rows.withColumn("_features", features_of(F.col("text")))))
+            return rows.withColumn(name, vector_to_array("_chances")[1]).drop("_features", "_vector", "_chances")
 
-        scored.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-        return F.pandas_udf(scored, "double")(text)
+        return carrying(documents, run)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -171,7 +180,7 @@ def learned(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Cl
     marked = F.broadcast(marked.select(F.col("doc_id").alias("_id"), "_toxic"))  # at most ``sample`` rows
     chosen = documents.select("doc_id", "text").join(marked, F.col("doc_id") == F.col("_id")).groupBy("doc_id")
     chosen = chosen.agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text"), F.max("_toxic").alias("_toxic"))
-    rows = cut(chosen.select("doc_id", F.col("_toxic").alias("toxic"), _features("text").alias("features"), _patterns("text").alias("patterns")))
+    rows = cut(chosen.select("doc_id", F.col("_toxic").alias("toxic"), features_of(F.col("text")).alias("features"), patterns_of(F.col("text")).alias("patterns")))
     kinds = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(kinds) < 2:
         return Classifier({}, 30.0 if kinds and max(kinds) else -30.0)
@@ -200,15 +209,16 @@ def learned(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Cl
     vectors = cut(counter.transform(known_rows).select("vector", "label", "weight").coalesce(FIT_PARTITIONS))
     model = LogisticRegression(featuresCol="vector", labelCol="label", weightCol="weight", regParam=REGULARITY, maxIter=60, standardization=False).fit(vectors)
     weights = {w: float(x) for w, x in zip(vocabulary, model.coefficients.toArray(), strict=True) if abs(x) > 1e-6}
-    return Classifier(weights, float(model.intercept))
+    return Classifier(weights, float(model.intercept), tuple(vocabulary), model)
 
 
 def scored(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Every row of the documents with all its columns, and ``_held_out`` and ``_score`` (in place of any so named)."""
-    model = learned(documents, labels, sample)
-    return documents.withColumn("_held_out", held_out(F.col("doc_id"))).withColumn("_score", model.column(F.col("text")))
+    own = documents.drop("_held_out", "_score")
+    return learned(documents, labels, sample).scored(own, "_score").withColumn("_held_out", held_out(F.col("doc_id")))
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below 0.5, with all their columns."""
-    return documents.filter(learned(documents, labels).column(F.col("text")) < 0.5)
+    scores = next(n for i in range(10**6) if (n := f"score {i}") not in documents.columns)
+    return learned(documents, labels).scored(documents, scores).filter(F.col(scores) < 0.5).drop(scores)

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from conftest_llm import SF_DIR
 
-from stopline.llm.queries import op1_toxicity
 from pyspark.sql import functions as F
 
-from stopline.llm.toxicity import LEAST_DOCUMENTS, PATTERNS, LabelModel, _lexicons, _voted, first_guess, held_out, learned, scored, without_toxic
+from stopline.llm.queries import op1_toxicity
+from stopline.llm.toxicity import LEAST_DOCUMENTS, PATTERNS, LabelModel, _lexicons, _voted, features, features_of, first_guess, held_out, learned, patterns_of, scored, without_toxic
 
 
 def test_held_out_accuracy(spark):
@@ -112,3 +114,25 @@ def test_documents_with_one_id_are_learned_from_in_one_way(spark, documents):
     labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
     first, second = (learned(documents(given).repartition(7), labels) for given in (rows, rows[::-1]))
     assert set(first.weights) == set(second.weights)
+
+
+def test_features_and_patterns_against_plain_python(spark, odd):
+    texts = [None, "", "Żółć ÅNGSTRÖM naïve_word x1y2 ½ Ⅷ １２３ ẞtraße", "日本語のテキスト 中文", "go " * 50_000, "A" * 300_000, "SHOUT " * 60_000, "İstanbul ΣΑΣ ǅ", "you are, well, bad!\n", "hmm?!?", "sooooo", "SHUT UP", "tú eres!"]
+    texts += [r["text"] for r in odd.collect()] + pd.read_parquet(f"{SF_DIR}/documents.parquet")["text"].tolist()
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = frame.select(F.sort_array(features_of(F.col("text"))).alias("f"), patterns_of(F.col("text")).alias("p"), "i").orderBy("i").collect()
+    for text, row in zip(texts, got, strict=True):
+        assert set(row["f"]) == set(features(text)) and len(row["f"]) == len(features(text)), text
+        plain = [p.removeprefix("(?U)").replace("(?iU)", "(?i)") for p, _ in PATTERNS]
+        assert list(row["p"]) == [bool(re.search(p, text or "")) for p in plain], text
+
+
+def test_scores_against_the_classifier_on_one_text(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    model = learned(docs, labels)
+    named = docs.withColumns({"_features": F.lit(1), "_vector": F.lit("x"), "_chances": F.lit(2), "_found": F.lit(3)})
+    got = model.scored(named, "mine")
+    assert got.columns == [*named.columns, "mine"]
+    rows = got.collect()
+    assert len(rows) == docs.count() and {(r["_features"], r["_vector"], r["_chances"], r["_found"]) for r in rows} == {(1, "x", 2, 3)}
+    assert max(abs(r["mine"] - model.score(r["text"])) for r in rows) < 1e-3
